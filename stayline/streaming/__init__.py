@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The analytics are daily and weekly batch jobs; new work is found by an anti join
+against the results already written (``operators.scoring.not_yet_scored``), so no
+watermark, event window or keyed state is owed.
+"""
