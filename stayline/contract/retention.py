@@ -31,8 +31,9 @@ FEATURE_SPEC = (
 FACT_SPEC = "uid:s breed:s day:s weight:d is_medical:i product_group:s product_name:s ani_age:i revenue:d"
 
 
-def _snapshot(t: Inputs, training: bool = True) -> snapshots.Snapshot:
-    return snapshots.build(t, AS_OF, training=training, promo_prefix=PROMO_PREFIX)
+def _snapshot(t: Inputs, training: bool = True, attributes: bool = False) -> snapshots.Snapshot:
+    keep = features.ATTRIBUTES if attributes else ()
+    return snapshots.build(t, AS_OF, training=training, promo_prefix=PROMO_PREFIX, keep=keep)
 
 
 def _facts(t: Inputs, unknown: bool = False):
@@ -50,8 +51,7 @@ def _event_visits(t: Inputs):
 
 
 def _snapshot_lines(t: Inputs, n: int):
-    snap = _snapshot(t)
-    return spend.snapshot_lines(snap.facts, spend.pick_visit(snap.days, n), snap.wellness)
+    return snapshots.visit_lines(t, _snapshot(t), AS_OF, n)
 
 
 def _snapshot_all(t: Inputs):
@@ -71,8 +71,8 @@ def _candidates(t: Inputs, any_visit: bool = False):
 
 
 def _feature_rows(t: Inputs):
-    snap = _snapshot(t)
-    return features.feature_frame(features.patient_rows(snap.facts, spend.pick_visit(snap.days, up_to=5), t.breeds))
+    days = spend.pick_visit(_snapshot(t, attributes=True).days, up_to=5)
+    return features.feature_frame(features.patient_rows(days, t.breeds))
 
 
 def _bands(t: Inputs, binary: bool):
@@ -81,14 +81,13 @@ def _bands(t: Inputs, binary: bool):
 
 
 def _sanity(t: Inputs):
-    snap = _snapshot(t)
-    return features.sanity_counters(features.patient_rows(snap.facts, spend.pick_visit(snap.days, 2), t.breeds))
+    days = spend.pick_visit(_snapshot(t, attributes=True).days, 2)
+    return features.sanity_counters(features.patient_rows(days, t.breeds))
 
 
 def _fill(t: Inputs, literal: bool):
-    snap = _snapshot(t, training=False)
-    days = score_plan.candidate_days(snap, t.scored).select("uid", "day", "visit_number")
-    rows = snap.facts.select("uid", "day", "breed", "ani_age", "weight").distinct().join(days, ["uid", "day"]).drop("day").distinct()
+    days = score_plan.candidate_days(_snapshot(t, training=False, attributes=True), t.scored)
+    rows = days.select("uid", "visit_number", "breed", "ani_age", "weight").distinct()
     return features.fill_weight(rows, features.breed_weight_avg(t.animals, t.transactions, AS_OF), literal)
 
 
@@ -254,7 +253,7 @@ QUERIES: dict[str, Query] = {
     "visit_islands_rowpos": Query(lambda t: _visits(t, rule="line", numbering="rank"), VISIT_SPEC, "select * from v_visits_rows"),
     "visit_islands_events": Query(_event_visits, VISIT_SPEC, "select * from v_visits_events"),
     "line_facts": Query(
-        lambda t: facts.facts_with_flags(_facts(t), AS_OF),
+        lambda t: facts.facts_with_flags(_facts(t), facts.active_days(t.transactions, t.animals), AS_OF),
         FACT_SPEC + " first_day:s day_rank:i within_horizon:i mature_patient:i",
         "select * from v_flagged",
     ),

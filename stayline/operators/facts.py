@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,18 +26,22 @@ def animal_attributes(animals: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def line_facts(
-    transactions: DataFrame, products: DataFrame, animals: DataFrame, as_of: dt.date, unknown_animals: bool = False
+    transactions: DataFrame, products: DataFrame, animals: DataFrame, as_of: dt.date, unknown_animals: bool = False,
+    only_days: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and age per (uid, breed, day, weight, medical flag, group, product).
 
     Products are a left join; animals are inner by ``id`` alone, or left with
-    ``unknown_animals``. The joins are line-grain equi joins whose other side is unique
+    ``unknown_animals``. ``only_days`` keeps lines of given (uid, day) rows, before any
+    other join. The joins are line-grain equi joins whose other side is unique
     per key, which adaptive execution splits when one product or animal is hot; the
     aggregation combines map-side before its shuffle.
     """
     lines = with_uid_day(transactions).select(
         "uid", "day", "location_id", "animal_id", "product_id", "product_name", "revenue"
     )
+    if only_days is not None:
+        lines = lines.join(only_days.select("uid", "day"), ["uid", "day"], "left_semi")
     catalogue = products.select(
         F.col("ezyvet_id").alias("product_id"),
         "location_id",
@@ -72,29 +77,33 @@ def with_contact_copies(frame: DataFrame, copies: DataFrame, *amounts: str) -> D
     return out.drop("copies")
 
 
-def fact_days(facts: DataFrame, promo_prefix: str = P.PROMO_PREFIX) -> DataFrame:
-    """Spend, number of fact rows and number of promo rows per (uid, day)."""
+def fact_days(facts: DataFrame, promo_prefix: str = P.PROMO_PREFIX, keep: Sequence[str] = ()) -> DataFrame:
+    """Spend, number of fact rows and number of promo rows per (uid, day) and kept attributes."""
     promo = as_flag(F.col("product_name").startswith(promo_prefix))
-    return facts.groupBy("uid", "day").agg(
+    return facts.groupBy("uid", "day", *keep).agg(
         money(F.sum("revenue")).alias("day_spend"), F.count("*").alias("n_rows"), F.sum(promo).alias("n_promo")
     )
 
 
 def with_patient_flags(days: DataFrame, as_of: dt.date, horizon: int = P.HORIZON_DAYS, maturity: int = P.MATURITY_DAYS) -> DataFrame:
-    """First day, day rank, and the two training filters, over one row per (uid, day)."""
+    """First day, day rank, and the two training filters, over day-grain rows."""
     whole = Window.partitionBy("uid")
     return (
-        days.withColumn("first_day", F.min("day").over(whole))
-        .withColumn("day_rank", F.dense_rank().over(whole.orderBy("day")))
+        days.withColumns({"first_day": F.min("day").over(whole), "day_rank": F.dense_rank().over(whole.orderBy("day"))})
         .withColumn("within_horizon", as_flag(F.datediff("day", "first_day") <= horizon))
         .withColumn("mature_patient", as_flag(F.datediff(as_date(as_of), F.col("first_day")) >= maturity))
     )
 
 
-def facts_with_flags(facts: DataFrame, as_of: dt.date) -> DataFrame:
-    """Facts with their day's flags joined back on (uid, day)."""
-    days = with_patient_flags(facts.select("uid", "day").distinct(), as_of)
-    return facts.join(days, ["uid", "day"])
+def active_days(transactions: DataFrame, animals: DataFrame) -> DataFrame:
+    """Distinct (uid, day) of known animals: a narrow scan without products or money."""
+    days = with_uid_day(transactions).select("uid", "day", "animal_id").distinct()
+    return days.join(animals.select(F.col("id").alias("animal_id")), "animal_id", "left_semi").drop("animal_id")
+
+
+def facts_with_flags(facts: DataFrame, days: DataFrame, as_of: dt.date) -> DataFrame:
+    """Facts with their day's flags joined on (uid, day)."""
+    return facts.join(with_patient_flags(days, as_of), ["uid", "day"])
 
 
 def wellness_memberships(

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline import params as P
 from stayline.functions.dates import as_date, local_day, years_crossed
 from stayline.functions.numeric import as_flag, clip, zero_to_null
+from stayline.operators.breeds import with_breed_attributes
 from stayline.operators.spend import SPENDS
 
 ONE_HOT = (*P.BREED_SIZES, *P.TIERS.values())
@@ -28,66 +28,67 @@ def one_hot(column: str, vocabulary: Sequence[str] | Mapping[str, str]) -> list[
     return [as_flag(F.col(column) == value).alias(name) for value, name in names.items()]
 
 
-def patient_rows(facts: DataFrame, days: DataFrame, breeds: DataFrame) -> DataFrame:
-    """Distinct patient attribute rows of the chosen visits.
+ATTRIBUTES = ("breed", "ani_age", "weight", "is_medical")
 
-    Facts are reduced to their attributes per (uid, day) before they meet the day totals,
-    so the join carries a few rows per day and no product text.
-    """
-    attributes = facts.select("uid", "day", "breed", "ani_age", "weight", "is_medical").distinct()
-    totals = days.select("uid", "day", "visit_number", "wellness_plan", "max_num_visit", *SPENDS)
-    joined = attributes.join(totals, ["uid", "day"]).join(breeds.select("breed", "tier", "breed_size"), "breed")
-    return joined.drop("day", "breed").distinct()
 
+def patient_rows(days: DataFrame, breeds: DataFrame) -> DataFrame:
+    """Distinct attribute rows of the chosen visits, from day totals that kept ``ATTRIBUTES``.
 
-def fill_mean_age(rows: DataFrame, by: str = "visit_number") -> DataFrame:
-    """Missing age becomes the mean over the distinct rows of the visit number."""
-    exact = rows.select(by, "uid", "ani_age", "weight", "breed_size", "is_medical", "wellness_plan", *SPENDS).distinct()
-    means = exact.groupBy(by).agg(F.avg("ani_age").alias("_mean_age"))
-    # One row per modelled visit number.
-    out = rows.join(F.broadcast(means), by, "left")
-    return out.withColumn("ani_age", F.coalesce(F.col("ani_age").cast("double"), "_mean_age")).drop("_mean_age")
+    Day rows shrink to a few rows per uid and visit here; lines are not read again.
+    """
+    rows = days.select("uid", "visit_number", "wellness_plan", "max_num_visit", *SPENDS, *ATTRIBUTES)
+    return with_breed_attributes(rows, breeds).drop("breed").distinct()
 
 
-def impute_weight(rows: DataFrame, levels: int = 2, zero_missing: bool = True, by: str = "visit_number") -> DataFrame:
-    """Missing weight from the mean of (age, size), then from the mean of the size.
+def imputation_table(rows: DataFrame, levels: int = 2, by: str = "visit_number") -> DataFrame:
+    """Fill values per (visit number, age, size), null age included.
 
-    The second mean includes the values the first one filled in. Both means follow from
-    one small table of sums and counts per (age, size): no window holds a whole age group,
-    however many patients share it.
+    A missing age becomes the mean age of the visit number. A missing weight becomes the
+    mean of its (age, size), else, with two levels, the mean of its size, which includes
+    the weights the first level filled in. All means follow from sums and counts per
+    (age, size), so windows run over that small table and never over patients.
     """
-    known = zero_to_null(F.col("weight")) if zero_missing else F.col("weight")
-    rows = rows.withColumn("weight", known)
-    keys = [by, "ani_age", "breed_size"]
-    stats = rows.groupBy(*keys).agg(
+    stats = rows.groupBy(by, "ani_age", "breed_size").agg(
         F.sum("weight").cast("double").alias("w_sum"), F.count("weight").alias("w_n"), F.count("*").alias("n")
     )
-    stats = stats.withColumn("mean_1", F.try_divide("w_sum", "w_n"))
-    table = stats.select(*keys, "mean_1")
-    if levels > 1:
-        filled = F.when(F.col("mean_1").isNotNull(), F.col("w_sum") + (F.col("n") - F.col("w_n")) * F.col("mean_1"))
-        by_size = stats.groupBy(by, "breed_size").agg(
-            F.try_divide(F.sum(filled), F.sum(F.when(F.col("mean_1").isNotNull(), F.col("n")))).alias("mean_2")
-        )
-        table = table.join(by_size, [by, "breed_size"], "left")
-    else:
-        table = table.withColumn("mean_2", F.lit(None).cast("double"))
+    aged = F.when(F.col("ani_age").isNotNull(), F.col("n"))
+    visit = Window.partitionBy(by)
+    level_1 = Window.partitionBy(by, "age", "breed_size")
+    level_2 = Window.partitionBy(by, "breed_size")
+    mean_age = F.try_divide(F.sum(F.col("ani_age") * F.col("n")).over(visit), F.sum(aged).over(visit))
+    table = stats.withColumn("age", F.coalesce(F.col("ani_age").cast("double"), mean_age)).withColumn(
+        "mean_1", F.try_divide(F.sum("w_sum").over(level_1), F.sum("w_n").over(level_1))
+    )
+    usable = F.col("mean_1").isNotNull()
+    total = F.coalesce("w_sum", F.lit(0.0)) + (F.col("n") - F.col("w_n")) * F.col("mean_1")
+    mean_2 = F.try_divide(F.sum(F.when(usable, total)).over(level_2), F.sum(F.when(usable, F.col("n"))).over(level_2))
+    fill = F.coalesce("mean_1", mean_2) if levels > 1 else F.col("mean_1")
+    return table.select(by, "ani_age", "breed_size", F.col("age").alias("age_filled"), fill.alias("weight_filled"))
+
+
+def impute(rows: DataFrame, levels: int = 2, zero_missing: bool = True, by: str = "visit_number") -> DataFrame:
+    """Rows with ``ani_age`` and ``weight`` filled from the imputation table."""
+    if zero_missing:
+        rows = rows.withColumn("weight", zero_to_null(F.col("weight")))
+    table = imputation_table(rows, levels, by).withColumnRenamed("ani_age", "_age").withColumnRenamed("breed_size", "_size").withColumnRenamed(by, "_by")
+    match = (F.col(by) == F.col("_by")) & F.col("ani_age").eqNullSafe(F.col("_age")) & F.col("breed_size").eqNullSafe(F.col("_size"))
+    # Bounded by visit numbers x whole years of age x size classes, not by patients.
     return (
-        rows.join(table, keys, "left")
-        .withColumn("weight", F.coalesce(F.col("weight").cast("double"), "mean_1", "mean_2"))
-        .drop("mean_1", "mean_2")
+        rows.join(F.broadcast(table), match)
+        .withColumn("ani_age", F.col("age_filled"))
+        .withColumn("weight", F.coalesce(F.col("weight").cast("double"), "weight_filled"))
+        .drop("_by", "_age", "_size", "age_filled", "weight_filled")
     )
 
 
 def feature_frame(rows: DataFrame, clip_future: bool = True, levels: int = 2, zero_missing: bool = True) -> DataFrame:
-    """One row per (visit number, uid): maxima and counts over the distinct attribute rows.
+    """One row per (visit number, uid): maxima and counts over attribute rows, which must be distinct.
 
     One aggregation gives the counts and the one-hot columns, which are constant per uid.
     Rows that still lack age or weight drop out, as null keys do in a grouped frame.
     """
     measured = ["visit_number", "uid", "ani_age", "weight", "breed_size", "tier", "is_medical", "wellness_plan", "max_num_visit", *SPENDS]
-    rows = fill_mean_age(rows.select(*measured).distinct())
-    rows = impute_weight(rows, levels, zero_missing).where("ani_age is not null and weight is not null")
+    rows = impute(rows.select(*measured), levels, zero_missing).where("ani_age is not null and weight is not null")
     coded = rows.select("*", *one_hot("breed_size", P.BREED_SIZES), *one_hot("tier", P.TIERS))
     out = coded.groupBy("visit_number", "uid", "ani_age", "weight", "max_num_visit", *SPENDS).agg(
         F.max("is_medical").alias("is_medical_max"),

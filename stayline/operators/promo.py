@@ -38,15 +38,13 @@ def promo_listing(
     owner = owner.join(repeats, "contact_id", "left").select("animal_id", F.col("location_id").alias("r_location"), "repeats")
     owner = owner.where("repeats is not null").select("animal_id", F.col("r_location").alias("location_id"), "repeats")
     known = animals.select(F.col("id").alias("animal_id"))
-    joined = (
-        lines.join(sold, ["product_id", "location_id"])
-        .join(known, "animal_id")
-        .join(visits.select("uid", "day"), ["uid", "day"], "left_semi")
-    )
+    joined = lines.join(sold, ["product_id", "location_id"]).join(known, "animal_id")
     plans = wellness.groupBy("uid", "day").agg(F.count("*").alias("w_rows"), F.count("wellness_plan").alias("w_plans"))
     per_day = joined.groupBy("uid", "day", "animal_id", "location_id").agg(
         F.count("*").alias("rows"), F.sum(as_flag(F.col("product_name").startswith(promo_prefix))).alias("promos")
     )
+    # Only paid days count. Tested here on day rows; listing joins the counts, so it holds there too.
+    per_day = per_day.join(visits.select("uid", "day"), ["uid", "day"], "left_semi")
     per_day = per_day.join(owner, ["animal_id", "location_id"], "left").join(plans, ["uid", "day"], "left")
     times = F.coalesce("repeats", F.lit(1))
     whole = Window.partitionBy("uid")

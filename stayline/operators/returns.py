@@ -80,11 +80,11 @@ def return_profile(
         joined = joined.join(stored, ["contact_id", "location_id"], "left")
     keys = [subject if k == "species" else k for k in PROFILE_KEYS]
     kinds = joined.groupBy(*keys, "revenue").agg(F.max("ani_age").alias("ani_age"))
-    days = kinds.groupBy("animal_id", "day").agg(money(F.sum("revenue")).alias("rev_day_total"))
-    days = days.withColumn("rank_", F.dense_rank().over(Window.partitionBy("animal_id").orderBy("day")))
     # ``rank_`` and the day total follow from (animal, day), so the closing aggregation
-    # comes before they are joined on.
+    # comes first, and both sides of the join share its shuffles.
     lines = kinds.groupBy(*keys, "ani_age").agg(money(F.sum("revenue")).alias("revenue"))
+    days = lines.groupBy("animal_id", "day").agg(money(F.sum("revenue")).alias("rev_day_total"))
+    days = days.withColumn("rank_", F.dense_rank().over(Window.partitionBy("animal_id").orderBy("day")))
     return lines.join(days, ["animal_id", "day"])
 
 

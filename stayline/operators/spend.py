@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +25,12 @@ def visit_days(
     promo_prefix: str = P.PROMO_PREFIX,
     training: bool = True,
     dedupe_wellness: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per (uid, paid day) with spend totals around the day's visit, for every visit at once.
+    """Rows per (uid, paid day) with spend totals around the day's visit, for every visit at once.
+
+    ``keep`` splits a day by a few attributes that features need; totals stay the same,
+    and the lines need not be read again to attach them.
 
     Joining memberships to lines repeats the lines of a day once per membership that
     starts that day, and spend with them (``dedupe_wellness`` turns that off). Here the
@@ -33,7 +38,7 @@ def visit_days(
 
     ``training`` applies the horizon and maturity filters before the totals.
     """
-    days = fact_days(facts, promo_prefix)
+    days = fact_days(facts, promo_prefix, keep)
     if wellness is not None:
         days = days.join(wellness_days(wellness), ["uid", "day"], "left")
     else:
@@ -53,16 +58,24 @@ def visit_days(
     this_visit = by_visit.rangeBetween(Window.currentRow, Window.currentRow)
     return (
         days.withColumn("repeats", repeats)
-        .withColumn("_spend", times(F.col("day_spend"), F.col("repeats")))
-        .withColumn("_total", F.sum("_spend").over(whole))
-        .withColumn("wellness_plan", F.coalesce(F.sum(F.col("n_rows") * F.col("w_plans")).over(whole), F.lit(0)))
-        .withColumn("_through", F.sum("_spend").over(to_here))
-        .withColumn("_here", F.sum("_spend").over(this_visit))
-        .withColumn("product_count", F.sum(F.col("n_promo") * F.col("repeats")).over(this_visit))
-        .withColumn("total_past_spend", money(F.col("_through") - F.col("_here")))
-        .withColumn("most_recent_visit_spend", money(F.col("_here")))
-        .withColumn("total_future_spend", money(F.col("_total") - F.col("_through")))
-        .drop("_spend", "_total", "_through", "_here", "w_rows", "w_plans")
+        .withColumns({
+            "_spend": times(F.col("day_spend"), F.col("repeats")),
+            "_plans": F.coalesce(F.col("n_rows") * F.col("w_plans"), F.lit(0)),
+            "_promo": F.col("n_promo") * F.col("repeats"),
+        })
+        .withColumns({
+            "_total": F.sum("_spend").over(whole),
+            "wellness_plan": F.sum("_plans").over(whole),
+            "_through": F.sum("_spend").over(to_here),
+            "_here": F.sum("_spend").over(this_visit),
+            "product_count": F.sum("_promo").over(this_visit),
+        })
+        .withColumns({
+            "total_past_spend": money(F.col("_through") - F.col("_here")),
+            "most_recent_visit_spend": money(F.col("_here")),
+            "total_future_spend": money(F.col("_total") - F.col("_through")),
+        })
+        .drop("_spend", "_plans", "_promo", "_total", "_through", "_here", "w_rows", "w_plans")
     )
 
 
@@ -87,7 +100,7 @@ SNAPSHOT_COLUMNS = (
 
 
 def snapshot_lines(facts: DataFrame, days: DataFrame, wellness: DataFrame | None = None) -> DataFrame:
-    """Fact rows of the chosen visits with their patient's totals.
+    """Fact rows of the chosen visits with their patient's totals (one row per uid and day).
 
     With ``wellness`` the rows are repeated per membership of the day, as a plain join
     gives them. Both joins hash on (uid, day), which spreads a busy uid over its days.

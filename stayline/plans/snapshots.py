@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,8 @@ class Snapshot:
 
 
 def build(
-    tables, as_of: dt.date, *, training: bool = True, promo_prefix: str = P.PROMO_PREFIX, contacts: bool = True, plans: bool = True
+    tables, as_of: dt.date, *, training: bool = True, promo_prefix: str = P.PROMO_PREFIX, contacts: bool = True, plans: bool = True,
+    keep: Sequence[str] = (),
 ) -> Snapshot:
     """Scan once, number visits once, and total spend for every visit number at once.
 
@@ -36,5 +38,16 @@ def build(
     if not plans:
         wellness = wellness.withColumn("wellness_plan", wellness["wellness_plan_num"].cast("string"))
     copies = ops.contact_copies(tables.animals, tables.contacts) if contacts else None
-    days = spend.visit_days(facts, numbered, wellness, copies, as_of=as_of, promo_prefix=promo_prefix, training=training)
+    days = spend.visit_days(facts, numbered, wellness, copies, as_of=as_of, promo_prefix=promo_prefix, training=training, keep=keep)
     return Snapshot(facts, numbered, wellness, days)
+
+
+def visit_lines(tables, snap: Snapshot, as_of: dt.date, visit_number: int) -> DataFrame:
+    """The line rows of one visit number with their patient's totals.
+
+    Lines are first narrowed to the days of that visit, so products, animals and the
+    closing joins see only those. ``snap`` must be built without ``keep``.
+    """
+    days = spend.pick_visit(snap.days, visit_number)
+    facts = ops.line_facts(tables.transactions, tables.products, tables.animals, as_of, only_days=days)
+    return spend.snapshot_lines(facts, days, snap.wellness)

@@ -51,7 +51,7 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     names = sys.argv[2:] or list(queries())
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
+    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     bad = 0
