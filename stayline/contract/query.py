@@ -7,8 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from stayline.contract.views import VIEWS
 from stayline.sources.inputs import Inputs
 
@@ -33,11 +31,10 @@ class Query:
         for name, kind in _parse(self.spec):
             if kind.startswith("r"):
                 # Adding zero turns a rounded -0.0 into 0.0.
-                col = F.round(F.col(name).cast("double"), int(kind[1:])) + F.lit(0.0)
+                cols.append(f"round(cast(`{name}` as double), {kind[1:]}) + 0D as `{name}`")
             else:
-                col = F.col(name).cast(_KINDS[kind][0])
-            cols.append(col.alias(name))
-        return df.select(*cols)
+                cols.append(f"cast(`{name}` as {_KINDS[kind][0]}) as `{name}`")
+        return df.selectExpr(*cols)
 
     def oracle(self) -> str | None:
         if self.sql is None:

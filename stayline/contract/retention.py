@@ -25,7 +25,7 @@ LINE_SPEC = (
     f" visit_number:i visit_more_than_once:i max_num_visit:i {SPENDS}"
 )
 FEATURE_SPEC = (
-    "visit_number:i uid:s ani_age:r6 weight:r6 max_num_visit:i is_medical_max:i is_medical_count:i wellness_plan_max:i wellness_plan_count:i"
+    "visit_number:i uid:s ani_age:r8 weight:r8 max_num_visit:i is_medical_max:i is_medical_count:i wellness_plan_max:i wellness_plan_count:i"
     f" {SPENDS} cat:i large:i medium:i other_animal:i small:i tier_other:i tier_1:i tier_2:i tier_3:i tier_4:i"
 )
 FACT_SPEC = "uid:s breed:s day:s weight:d is_medical:i product_group:s product_name:s ani_age:i revenue:d"
@@ -294,10 +294,10 @@ QUERIES: dict[str, Query] = {
           count(distinct case when total_future_spend < 0 then uid end) as below_zero from v_rows where visit_number = 2""",
     ),
     "breed_weight_avg": Query(
-        lambda t: features.breed_weight_avg(t.animals, t.transactions, AS_OF), "breed:s baby:s avg_weight:r6", "select breed, baby, weight_avg as avg_weight from v_breed_weight"
+        lambda t: features.breed_weight_avg(t.animals, t.transactions, AS_OF), "breed:s baby:s avg_weight:r8", "select breed, baby, weight_avg as avg_weight from v_breed_weight"
     ),
-    "weight_fill": Query(lambda t: _fill(t, False), "visit_number:i uid:s breed:s ani_age:i weight:r6", _FILLED_ROWS),
-    "weight_fill_literal": Query(lambda t: _fill(t, True), "visit_number:i uid:s breed:s ani_age:i weight:r6", _FILLED_LITERAL),
+    "weight_fill": Query(lambda t: _fill(t, False), "visit_number:i uid:s breed:s ani_age:i weight:r8", _FILLED_ROWS),
+    "weight_fill_literal": Query(lambda t: _fill(t, True), "visit_number:i uid:s breed:s ani_age:i weight:r8", _FILLED_LITERAL),
     "keyword_size": Query(
         lambda t: breeds.with_size(t.raw("part").select("p_partkey", F.col("p_name").alias("breed")), SIZE_RULES),
         "p_partkey:i breed:s breed_size:s",

@@ -86,6 +86,21 @@ def fit_binomial(train: DataFrame, columns: Sequence[str], label: str):
     return glm.fit(data.select("features", F.col(label).cast("double").alias(label)))
 
 
+def binomial_summary(spark, model, columns: Sequence[str]) -> DataFrame:
+    """Coefficient table of a fitted binomial regression: one row per term.
+
+    Standard errors do not exist for a penalised fit, so the summary refits nothing and
+    leaves them null where Spark offers none.
+    """
+    estimates = [float(c) for c in model.coefficients]
+    try:
+        s = model.summary
+        rows = list(zip(columns, estimates, s.coefficientStandardErrors, s.tValues, s.pValues))
+    except Exception:  # noqa: BLE001 - Spark raises a plain exception when errors are undefined
+        rows = [(name, e, None, None, None) for name, e in zip(columns, estimates)]
+    return spark.createDataFrame(rows, "term string, estimate double, std_error double, z double, p double")
+
+
 def predict_binomial(model, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(as_matrix(df, columns))
     return model.transform(data).withColumnRenamed("prediction", "score").drop("features")
