@@ -13,6 +13,12 @@ from stayline.sources.inputs import Inputs
 _KINDS = {"s": ("string", "varchar"), "i": ("bigint", "bigint"), "d": ("double", "double")}
 
 
+def _rounded(value: str, digits: str) -> str:
+    """Rounding both engines agree on: a nudge far below the last digit moves exact ties
+    (which one engine would round up and the other down) off the boundary."""
+    return f"round({value} + 3e-{int(digits) + 2}, {digits})"
+
+
 def _parse(spec: str) -> list[tuple[str, str]]:
     return [tuple(part.rsplit(":", 1)) for part in spec.split()]
 
@@ -31,7 +37,7 @@ class Query:
         for name, kind in _parse(self.spec):
             if kind.startswith("r"):
                 # Adding zero turns a rounded -0.0 into 0.0.
-                cols.append(f"round(cast(`{name}` as double), {kind[1:]}) + 0D as `{name}`")
+                cols.append(f"{_rounded(f'cast(`{name}` as double)', kind[1:])} + 0D as `{name}`")
             else:
                 cols.append(f"cast(`{name}` as {_KINDS[kind][0]}) as `{name}`")
         return df.selectExpr(*cols)
@@ -42,7 +48,7 @@ class Query:
         cols = []
         for name, kind in _parse(self.spec):
             if kind.startswith("r"):
-                cols.append(f'round(cast("{name}" as double), {kind[1:]}) + 0.0 as "{name}"')
+                cols.append(_rounded(f'cast("{name}" as double)', kind[1:]) + f' + 0.0 as "{name}"')
             else:
                 cols.append(f'cast("{name}" as {_KINDS[kind][1]}) as "{name}"')
         return f"{with_views(self.sql)} select {', '.join(cols)} from result"

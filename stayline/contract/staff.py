@@ -42,7 +42,7 @@ def _percentiles(t: Inputs):
 
 
 def _weekday_box(t: Inputs):
-    return O.box_stats(_study(t), "rev_per_hour", ["network", "weekday"])
+    return O.box_stats(_study(t), "rev_per_hour", ["network", "weekday"], few_groups=True)
 
 
 def _split_counts(t: Inputs):

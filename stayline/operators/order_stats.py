@@ -13,60 +13,73 @@ def _coarse_slot(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * 64).cast("long")
 
 
-def percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), pieces: int = 4096) -> DataFrame:
+def percentiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), few_groups: bool = False, pieces: int = 4096
+) -> DataFrame:
     """Linear-interpolated percentiles of ``value`` per group; nulls ignored.
 
     Returns ``by..., prob, value``. The result is exact, yet no task sees a whole group:
     rows collapse to counts per distinct value; counts per coarse slot locate the slots
     that hold the wanted order statistics; only those slots are cut into even pieces,
     and only the pieces that hold them are sorted.
+
+    The located slots and pieces number at most two per percentile and group, so they are
+    broadcast when the groups are few (none, or ``few_groups``); else Spark decides.
     """
     by = list(by)
+    hint = F.broadcast if few_groups or not by else (lambda frame: frame)
     values = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
     values = values.withColumn("slot", _coarse_slot(F.col("v")))
+    # The later join implies these filters on one of its sides. Stated here, both readers of
+    # ``values`` have them, stay identical, and share one shuffle.
+    for key in [*by, "slot"]:
+        values = values.where(F.col(key).isNotNull())
 
-    # Tables of slots are bounded by the slot function, tables of pieces by ``pieces``.
+    # The slot table is bounded by the slot function. ``wants`` holds the positions
+    # (prob, k) that fall into a slot or piece, of which there are two per percentile.
     slots = values.groupBy(*by, "slot").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    slots = slots.withColumn("start", F.sum("n").over(group.orderBy("slot")) - F.col("n")).withColumn("total", F.sum("n").over(group))
-    prob = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    position = F.col("prob") * (F.col("total") - 1)
-    targets = (
-        slots.withColumn("prob", prob)
-        .withColumn("k", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .where("start <= k and k < start + n")
-        .select(*by, "slot", "prob", "k", "total", "start", "lo", "hi")
-    )
+    slots = slots.withColumns({"start": F.sum("n").over(group.orderBy("slot")) - F.col("n"), "total": F.sum("n").over(group)})
+    all_wants = F.flatten(F.array(*[_positions(float(p)) for p in probs]))
+    located = _hit(slots.withColumn("wants", all_wants), "start", "n").select(*by, "slot", "lo", "hi", "start", "total", "wants")
 
-    wanted = targets.select(*by, "slot", "lo", "hi").distinct()
     where_in = F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0))
-    near = values.join(wanted, [*by, "slot"]).withColumn("piece", F.floor(where_in * (pieces - 1)).cast("int"))
-    sums = near.groupBy(*by, "slot", "piece").agg(F.sum("n").alias("pn"))
-    sums = sums.withColumn("pstart", F.sum("pn").over(Window.partitionBy(*by, "slot").orderBy("piece")) - F.col("pn"))
-    targets = (
-        targets.join(sums, [*by, "slot"])
-        .where("start + pstart <= k and k < start + pstart + pn")
-        .select(*by, "slot", "piece", "prob", "k", "total", (F.col("start") + F.col("pstart")).alias("start"))
-    )
+    near = values.join(hint(located), [*by, "slot"]).withColumn("piece", F.floor(where_in * (pieces - 1)).cast("int"))
+    sums = near.groupBy(*by, "slot", "piece", "start", "total", "wants").agg(F.sum("n").alias("pn"))
+    before = F.sum("pn").over(Window.partitionBy(*by, "slot").orderBy("piece")) - F.col("pn")
+    exact = _hit(sums.withColumn("start", F.col("start") + before), "start", "pn").select(*by, "slot", "piece", "start", "total", "wants")
 
-    few = near.join(targets.select(*by, "slot", "piece").distinct(), [*by, "slot", "piece"], "left_semi")
+    few = near.select(*by, "slot", "piece", "v", "n").join(hint(exact), [*by, "slot", "piece"])
     inside = Window.partitionBy(*by, "slot", "piece").orderBy("v")
-    ranked = few.withColumn("upto", F.sum("n").over(inside)).select(*by, "slot", "piece", "v", "n", "upto")
-    hits = targets.join(ranked, [*by, "slot", "piece"]).where("start + upto - n <= k and k < start + upto")
-    position = F.first("prob") * (F.first("total") - 1)
+    ranked = few.withColumn("start", F.col("start") + F.sum("n").over(inside) - F.col("n"))
+    hits = _hit(ranked, "start", "n").select(*by, "v", "total", F.explode("wants").alias("w"))
+    position = F.col("w.prob") * (F.col("total") - 1)
+    found = hits.select(*by, F.col("w.prob").alias("prob"), "v", (position - F.floor(position)).alias("part"))
     return (
-        hits.groupBy(*by, "prob")
-        .agg(F.min("v").alias("below"), F.max("v").alias("above"), (position - F.floor(position)).alias("part"))
+        found.groupBy(*by, "prob")
+        .agg(F.min("v").alias("below"), F.max("v").alias("above"), F.max("part").alias("part"))
         .select(*by, "prob", (F.col("below") + F.col("part") * (F.col("above") - F.col("below"))).alias("value"))
     )
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def _positions(prob: float) -> Column:
+    """The one or two row positions between which a percentile lies."""
+    at = F.lit(prob) * (F.col("total") - 1)
+    return F.array(*[F.struct(F.lit(prob).alias("prob"), k.alias("k")) for k in (F.floor(at), F.ceil(at))])
+
+
+def _hit(df: DataFrame, start: str, n: str) -> DataFrame:
+    """Rows whose position range holds wanted positions, keeping only those."""
+    kept = F.filter("wants", lambda w: (w["k"] >= F.col(start)) & (w["k"] < F.col(start) + F.col(n)))
+    return df.withColumn("wants", kept).where(F.size("wants") > 0)
+
+
+def box_stats(df: DataFrame, value: str, by: Sequence[str], few_groups: bool = False) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and outlier count per group."""
     by = list(by)
     named = F.when(F.col("prob") == 0.25, "q1").when(F.col("prob") == 0.5, "median").otherwise("q3")
     quartiles = (
-        percentiles(df, value, (0.25, 0.5, 0.75), by)
+        percentiles(df, value, (0.25, 0.5, 0.75), by, few_groups)
         .withColumn("q", named)
         .groupBy(*by)
         .pivot("q", ["q1", "median", "q3"])
@@ -91,12 +104,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in even bins between the smallest and largest value; the last bin is closed."""
     x = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
-    span = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+    # One scalar subquery over the same counts, whose shuffle it shares.
+    span = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("span")).scalar()
     at = F.coalesce(F.try_divide((F.col("x") - F.col("lo")) * bins, F.col("hi") - F.col("lo")), F.lit(0.0))
     return (
-        x.withColumn("lo", low)
-        .withColumn("hi", high)
+        x.select("x", "n", span.alias("span"))
+        .select("x", "n", "span.lo", "span.hi")
         .withColumn("bin", F.least(F.floor(at), F.lit(bins - 1)).cast("int"))
         .groupBy("bin", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_start"))
         .agg(F.sum("n").alias("n"))

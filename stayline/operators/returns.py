@@ -84,14 +84,18 @@ def return_profile(
     # comes first, and both sides of the join share its shuffles.
     lines = kinds.groupBy(*keys, "ani_age").agg(money(F.sum("revenue")).alias("revenue"))
     days = lines.groupBy("animal_id", "day").agg(money(F.sum("revenue")).alias("rev_day_total"))
-    days = days.withColumn("rank_", F.dense_rank().over(Window.partitionBy("animal_id").orderBy("day")))
+    animal = Window.partitionBy("animal_id")
+    days = days.withColumns({"rank_": F.dense_rank().over(animal.orderBy("day")), "first_day": F.min("day").over(animal)})
     return lines.join(days, ["animal_id", "day"])
 
 
 def seen_before(profile: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
-    """Rows of animals first seen before the cutoff (a membership test, repeating nothing)."""
-    early = profile.groupBy("animal_id").agg(F.min("day").alias("first")).where(F.col("first") < months_before(as_of, months))
-    return profile.join(early, "animal_id", "left_semi")
+    """Rows of animals first seen before the cutoff.
+
+    A membership test that repeats nothing. The profile carries each animal's first day,
+    so it is a filter; the profile is not built a second time to find the animals.
+    """
+    return profile.where(F.col("first_day") < months_before(as_of, months))
 
 
 def animal_days(profile: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ def doctor_utilisation(availability: DataFrame, days: DataFrame) -> DataFrame:
     """Availability joined with revenue, and the measures derived from both."""
     keys = {"appointment_at_date": "appointment_date", "veterinarian": "primary_resource_name"}
     earned = days.drop("network_id").withColumnsRenamed(keys)
-    joined = availability.join(earned, ["division_name", "appointment_date", "primary_resource_name"])
+    # The date leads the key: sorting starts on it, and divisions share long name prefixes.
+    joined = availability.join(earned, ["appointment_date", "primary_resource_name", "division_name"])
     minutes = F.col("minutes_in_office") - F.col("block_minutes")
     return (
         joined.withColumn("weekday", dow_monday0(F.col("appointment_date")))
