@@ -37,7 +37,7 @@ def _snapshot(t: Inputs, training: bool = True, attributes: bool = False) -> sna
 
 
 def _facts(t: Inputs, unknown: bool = False):
-    lines = facts.line_facts(t.transactions, t.products, t.animals, AS_OF, unknown)
+    lines = facts.line_facts(V.daily_lines(t.transactions), t.products, t.animals, AS_OF, unknown)
     return facts.with_contact_copies(lines, facts.contact_copies(t.animals, t.contacts), "revenue")
 
 

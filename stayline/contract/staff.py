@@ -142,7 +142,7 @@ QUERIES: dict[str, Query] = {
     "percentiles": Query(_percentiles, "prob:d value:r4", _PCT),
     "box_stats": Query(_weekday_box, "network:s weekday:i q1:r4 median:r4 q3:r4 low_whisker:r4 high_whisker:r4 outliers:i n:i", _BOX),
     "corr_matrix": Query(lambda t: S.correlations(_study(t), _NUMBERS), "column_a:s column_b:s r:r6", _CORR),
-    "density_grid": Query(lambda t: O.density(_study(t), "rev_per_hour", "weekday", GRID), "weekday:i at:d density:r9", _DENSITY),
+    "density_grid": Query(lambda t: O.density(_study(t), "rev_per_hour", "weekday", GRID, few_groups=True), "weekday:i at:d density:r9", _DENSITY),
     "network_split": Query(
         _split_counts,
         "side:s division_name:s n:i",

@@ -26,18 +26,18 @@ def animal_attributes(animals: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def line_facts(
-    transactions: DataFrame, products: DataFrame, animals: DataFrame, as_of: dt.date, unknown_animals: bool = False,
+    lines: DataFrame, products: DataFrame, animals: DataFrame, as_of: dt.date, unknown_animals: bool = False,
     only_days: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and age per (uid, breed, day, weight, medical flag, group, product).
 
-    Products are a left join; animals are inner by ``id`` alone, or left with
+    ``lines`` are daily lines (transactions are accepted too). Products are a left join; animals are inner by ``id`` alone, or left with
     ``unknown_animals``. ``only_days`` keeps lines of given (uid, day) rows, before any
-    other join. The joins are line-grain equi joins whose other side is unique
-    per key, which adaptive execution splits when one product or animal is hot; the
-    aggregation combines map-side before its shuffle.
+    other join. The joins are equi joins whose other side is unique per key, which
+    adaptive execution splits when one product or animal is hot; the aggregation combines
+    map-side before its shuffle.
     """
-    lines = with_uid_day(transactions).select(
+    lines = (lines if "uid" in lines.columns else with_uid_day(lines)).select(
         "uid", "day", "location_id", "animal_id", "product_id", "product_name", "revenue"
     )
     if only_days is not None:

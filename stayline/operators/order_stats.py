@@ -88,9 +88,10 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], few_groups: bool = F
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col(value)
     inside = (v >= F.col("q1") - F.col("reach")) & (v <= F.col("q3") + F.col("reach"))
+    quartiles = quartiles.withColumn("reach", reach)
     return (
         df.where(v.isNotNull())
-        .join(quartiles.withColumn("reach", reach), by)
+        .join(F.broadcast(quartiles) if few_groups else quartiles, by)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("low_whisker"),
@@ -116,7 +117,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-def density(df: DataFrame, value: str, by: str, grid: Sequence[float]) -> DataFrame:
+def density(df: DataFrame, value: str, by: str, grid: Sequence[float], few_groups: bool = False) -> DataFrame:
     """Gaussian kernel density on a fixed grid, with Scott's bandwidth per group.
 
     The grid is a short list of literals, so each grid point is one partial sum: rows are
@@ -126,7 +127,7 @@ def density(df: DataFrame, value: str, by: str, grid: Sequence[float]) -> DataFr
     n, s1, s2 = F.sum("m"), F.sum(F.col("x") * F.col("m")), F.sum(F.col("x") * F.col("x") * F.col("m"))
     moments = rows.groupBy(by).agg(n.alias("n"), (s1 / n).alias("mean"), F.sqrt(F.try_divide(s2 - s1 * s1 / n, n - 1)).alias("sd"))
     width = moments.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))
-    near = rows.join(width, by).where("h > 0")
+    near = rows.join(F.broadcast(width) if few_groups else width, by).where("h > 0")
 
     def kernel(g: float):
         z = (F.lit(float(g)) - F.col("x")) / F.col("h")

@@ -6,26 +6,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.keys import composite_key
-from stayline.functions.numeric import as_flag
+from stayline.functions.numeric import as_flag, money
 
 
 def with_uid_day(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("uid", composite_key("location_id", "animal_id")).withColumn("day", F.to_date("datetime_date"))
 
 
+def daily_lines(transactions: DataFrame) -> DataFrame:
+    """Revenue per (uid, day, product): the one line-grain aggregation that jobs share.
+
+    Sums are linear, so repeating joins may follow it. It combines map-side and shrinks a
+    house account with a huge share of all lines to its days times products before any
+    join shuffles them. Visits and facts built from the same frame read and shuffle the
+    lines once. Lines without a clinic or patient belong to no uid and are left out; the
+    filters are those later joins imply, stated so that all readers stay identical.
+    """
+    lines = with_uid_day(transactions).where("uid is not null and animal_id is not null and location_id is not null and day is not null")
+    return lines.groupBy("uid", "day", "location_id", "animal_id", "product_id", "product_name").agg(money(F.sum("revenue")).alias("revenue"))
+
+
 def known_uids(animals: DataFrame) -> DataFrame:
     """uids whose (clinic, external id) is a registered animal."""
     return animals.select(composite_key("location_id", "ezyvet_id").alias("uid")).distinct()
 
 
-def paid_days(transactions: DataFrame, animals: DataFrame, rule: str = "net") -> DataFrame:
-    """One row per (uid, day) with paid activity.
+def paid_days(lines: DataFrame, animals: DataFrame, rule: str = "net") -> DataFrame:
+    """One row per (uid, day) with paid activity, from transactions or daily lines.
 
     ``rule="net"`` keeps days whose revenue sums above zero; ``rule="line"`` keeps days
-    with any positive line. Registration is tested by a semi join after the aggregation:
+    with any positive line, and needs transactions, not daily sums. Registration is tested by a semi join after the aggregation:
     it decides membership only, so lines need not be shuffled for it.
     """
-    lines = with_uid_day(transactions).select("uid", "day", "revenue")
+    lines = lines if "uid" in lines.columns else with_uid_day(lines)
+    lines = lines.select("uid", "day", "revenue")
     if rule == "net":
         days = lines.groupBy("uid", "day").agg(F.sum("revenue").alias("day_revenue")).where("day_revenue > 0")
     elif rule == "line":
@@ -61,9 +75,9 @@ def number_visits(days: DataFrame, key: str = "uid", day: str = "day", numbering
     )
 
 
-def visits(transactions: DataFrame, animals: DataFrame, rule: str = "net", numbering: str = "dense") -> DataFrame:
+def visits(lines: DataFrame, animals: DataFrame, rule: str = "net", numbering: str = "dense") -> DataFrame:
     """(uid, day) rows with run group, visit number, number of visits and returner flag."""
-    return number_visits(paid_days(transactions, animals, rule).drop("day_revenue"), numbering=numbering)
+    return number_visits(paid_days(lines, animals, rule).drop("day_revenue"), numbering=numbering)
 
 
 def global_visit_rank(numbered: DataFrame) -> DataFrame:
@@ -74,4 +88,5 @@ def global_visit_rank(numbered: DataFrame) -> DataFrame:
     """
     distinct = numbered.select("visit_number").distinct()
     ranks = distinct.withColumn("global_rank", F.dense_rank().over(Window.orderBy("visit_number")))
-    return numbered.join(ranks, "visit_number")
+    # Bounded by the calendar: a patient has at most one visit per day.
+    return numbered.join(F.broadcast(ranks), "visit_number")

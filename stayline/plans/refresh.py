@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 
 from stayline.operators import facts as ops
 from stayline.operators import lifecycle
-from stayline.operators.visits import visits
+from stayline.operators.visits import daily_lines, visits
 from stayline.sources.sinks import keyed_update
 
 
 def update_rows(tables, as_of: dt.date) -> DataFrame:
     """(id, total_num_visit, total_future_spend) for every stored prediction to refresh."""
-    facts = ops.line_facts(tables.transactions, tables.products, tables.animals, as_of)
-    numbered = visits(tables.transactions, tables.animals)
+    lines = daily_lines(tables.transactions)
+    facts = ops.line_facts(lines, tables.products, tables.animals, as_of)
+    numbered = visits(lines, tables.animals)
     copies = ops.contact_copies(tables.animals, tables.contacts)
     back = lifecycle.returning_patients(facts, numbered, tables.scored, copies)
     return lifecycle.refresh_rows(back, tables.scored)

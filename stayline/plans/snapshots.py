@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from stayline import params as P
 from stayline.operators import facts as ops
 from stayline.operators import spend
-from stayline.operators.visits import visits
+from stayline.operators.visits import daily_lines, visits
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Line facts, numbered visits, memberships, and day totals around each visit."""
+    """Daily lines, line facts, numbered visits, memberships, and day totals around each visit."""
 
+    lines: DataFrame
     facts: DataFrame
     visits: DataFrame
     wellness: DataFrame
@@ -32,14 +33,15 @@ def build(
 
     Training and scoring differ only by the horizon and maturity filters.
     """
-    numbered = visits(tables.transactions, tables.animals)
-    facts = ops.line_facts(tables.transactions, tables.products, tables.animals, as_of)
+    lines = daily_lines(tables.transactions)
+    numbered = visits(lines, tables.animals)
+    facts = ops.line_facts(lines, tables.products, tables.animals, as_of)
     wellness = ops.wellness_memberships(tables.wellness_membership, tables.wellness_plans, as_of)
     if not plans:
         wellness = wellness.withColumn("wellness_plan", wellness["wellness_plan_num"].cast("string"))
     copies = ops.contact_copies(tables.animals, tables.contacts) if contacts else None
     days = spend.visit_days(facts, numbered, wellness, copies, as_of=as_of, promo_prefix=promo_prefix, training=training, keep=keep)
-    return Snapshot(facts, numbered, wellness, days)
+    return Snapshot(lines, facts, numbered, wellness, days)
 
 
 def visit_lines(tables, snap: Snapshot, as_of: dt.date, visit_number: int) -> DataFrame:
@@ -49,5 +51,5 @@ def visit_lines(tables, snap: Snapshot, as_of: dt.date, visit_number: int) -> Da
     closing joins see only those. ``snap`` must be built without ``keep``.
     """
     days = spend.pick_visit(snap.days, visit_number)
-    facts = ops.line_facts(tables.transactions, tables.products, tables.animals, as_of, only_days=days)
+    facts = ops.line_facts(snap.lines, tables.products, tables.animals, as_of, only_days=days)
     return spend.snapshot_lines(facts, days, snap.wellness)
