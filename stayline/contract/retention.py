@@ -278,6 +278,9 @@ QUERIES: dict[str, Query] = {
     ),
     "feature_frame": Query(_feature_rows, FEATURE_SPEC, "select * from v_features"),
     "scoring_features": Query(lambda t: score_plan.scoring_rows(t, AS_OF, t.scored), FEATURE_SPEC, "select * from v_score_features"),
+    "scoring_features_levels": Query(
+        lambda t: score_plan.scoring_rows(t, AS_OF, t.scored, breed_averages=False), FEATURE_SPEC, "select * from v_score_features_plain"
+    ),
     "label_bands": Query(lambda t: _bands(t, False), "visit_number:i total_future_spend_bin:i patients:i", _BAND_SQL),
     "label_binary": Query(lambda t: _bands(t, True), "visit_number:i total_future_spend_bin:i patients:i", _BINARY_SQL),
     "train_split": Query(

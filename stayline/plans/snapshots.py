@@ -44,12 +44,14 @@ def build(
     return Snapshot(lines, facts, numbered, wellness, days)
 
 
-def visit_lines(tables, snap: Snapshot, as_of: dt.date, visit_number: int) -> DataFrame:
+def visit_lines(tables, snap: Snapshot, as_of: dt.date, visit_number: int, ordered: bool = False) -> DataFrame:
     """The line rows of one visit number with their patient's totals.
 
     Lines are first narrowed to the days of that visit, so products, animals and the
-    closing joins see only those. ``snap`` must be built without ``keep``.
+    closing joins see only those. ``snap`` must be built without ``keep``. ``ordered`` sorts
+    by patient and day; a range sort at the end, so ask for it only at a sink.
     """
     days = spend.pick_visit(snap.days, visit_number)
     facts = ops.line_facts(snap.lines, tables.products, tables.animals, as_of, only_days=days)
-    return spend.snapshot_lines(facts, days, snap.wellness)
+    out = spend.snapshot_lines(facts, days, snap.wellness)
+    return out.orderBy("uid", "day") if ordered else out
