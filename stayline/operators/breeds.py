@@ -24,34 +24,43 @@ def with_size(names: DataFrame, rules: Mapping[str, Sequence[str]], column: str
     return names.withColumn("breed_size", classify_by_keywords(F.col(column), rules))
 
 
-def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed") -> DataFrame:
+def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed", short: int = 8) -> DataFrame:
     """Tier and score per distinct name.
 
     An exact match (ignoring case) scores 1. Otherwise the labelled name with the largest
     token overlap (shared tokens over all tokens) wins, ties by labelled name; no shared
     token gives the default tier with score 0.
 
-    ``labelled`` is reference data: a name can only meet labels it shares a token with, so
-    candidates grow with the names, not with their square. They are counted map-side.
+    A common token does not pair every name with every label that holds it. For any set of
+    shared tokens only the shortest label can win, so labels shrink to one row per token
+    subset, and a name looks up its own subsets. Names or labels of more than ``short``
+    tokens have too many subsets; they alone are compared pair by pair.
     """
     label_text = F.lower("unique_breed")
     labels = (
         labelled.where(F.col("unique_breed").isNotNull())
         .groupBy(label_text.alias("label"))
         .agg(F.min("matching_breed").alias("label_tier"))
-        .withColumn("label_tokens", tokens(F.col("label")))
+        .withColumn("label_tokens", F.array_sort(tokens(F.col("label"))))
+        .withColumn("n_label", F.size("label_tokens"))
     )
     wanted = names.select(column).where(F.col(column).isNotNull()).distinct().withColumn("text", F.lower(column))
-    wanted = wanted.withColumn("name_tokens", tokens(F.col("text")))
     exact = labels.select(F.col("label").alias("text"), F.col("label_tier").alias("exact_tier"))
     matched = wanted.join(exact, "text", "left")
-    open_names = matched.where("exact_tier is null").select("text", F.size("name_tokens").alias("n_name"), F.explode("name_tokens").alias("token")).distinct()
-    label_side = labels.select("label", "label_tier", F.size("label_tokens").alias("n_label"), F.explode("label_tokens").alias("token"))
-    shared = open_names.join(label_side, "token").groupBy("text", "label", "label_tier", "n_name", "n_label").agg(F.count("*").alias("n_shared"))
+    open_names = (
+        matched.where("exact_tier is null").select("text").distinct()
+        .withColumn("name_tokens", F.array_sort(tokens(F.col("text"))))
+        .withColumn("n_name", F.size("name_tokens"))
+    )
+    short_names, long_names = open_names.where(F.col("n_name") <= short), open_names.where(F.col("n_name") > short)
+    short_labels, long_labels = labels.where(F.col("n_label") <= short), labels.where(F.col("n_label") > short)
+    candidates = (
+        _by_subset(short_names, short_labels).unionByName(_by_pair(short_names, long_labels)).unionByName(_by_pair(long_names, labels))
+    )
     overlap = F.col("n_shared") / (F.col("n_name") + F.col("n_label") - F.col("n_shared"))
     # The smallest (-overlap, label) is the best overlap with the first label on ties.
     best = (
-        shared.groupBy("text")
+        candidates.groupBy("text")
         .agg(F.min(F.struct((-overlap).alias("neg"), "label", "label_tier")).alias("b"))
         .select("text", F.col("b.label_tier").alias("near_tier"), (-F.col("b.neg")).alias("near_score"))
     )
@@ -64,6 +73,39 @@ def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed") ->
     )
 
 
+_CANDIDATE = ("text", "label", "label_tier", "n_name", "n_label", "n_shared")
+
+
+def _subsets(df: DataFrame, column: str, size: str) -> DataFrame:
+    """One row per non-empty subset of the sorted tokens."""
+    masks = F.sequence(F.lit(1), (F.pow(F.lit(2.0), F.col(size)) - 1).cast("int"))
+    return (
+        df.where(F.col(size) > 0)
+        .withColumn("mask", F.explode(masks))
+        .withColumn("subset", F.expr(f"array_join(filter({column}, (t, i) -> bit_get(mask, i) = 1), ' ')"))
+        .withColumn("n_shared", F.bit_count("mask"))
+        .drop("mask", column)
+    )
+
+
+def _by_subset(names: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per token subset of a name, the shortest label (first on ties) that holds it.
+
+    The label may share more tokens than the subset; the larger subset then finds it too,
+    with its full overlap.
+    """
+    shortest = _subsets(labels, "label_tokens", "n_label").groupBy("subset").agg(F.min(F.struct("n_label", "label", "label_tier")).alias("b"))
+    return _subsets(names, "name_tokens", "n_name").join(shortest.select("subset", "b.*"), "subset").select(*_CANDIDATE)
+
+
+def _by_pair(names: DataFrame, labels: DataFrame) -> DataFrame:
+    """Shared tokens of every name and label that have one in common."""
+    left = names.select("text", "n_name", F.explode("name_tokens").alias("token"))
+    right = labels.select("label", "label_tier", "n_label", F.explode("label_tokens").alias("token"))
+    keys = ["text", "label", "label_tier", "n_name", "n_label"]
+    return left.join(right, "token").groupBy(*keys).agg(F.count("*").cast("int").alias("n_shared")).select(*_CANDIDATE)
+
+
 def enrich_new(df: DataFrame, known: DataFrame, labelled: DataFrame, rules: Mapping[str, Sequence[str]]) -> DataFrame:
     """Rows to append to the breeds table for names it lacks."""
     return with_size(tier_lookup(new_categories(df, known), labelled), rules).select("breed", "tier", "tier_score", "breed_size")

@@ -125,8 +125,12 @@ def max_visit_distribution(profile: DataFrame) -> DataFrame:
     return per_animal.groupBy("max_rank").agg(F.count("*").alias("n"))
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+def value_counts(df: DataFrame, column: str, order: str | None = None) -> DataFrame:
+    """Rows per value, unordered or ordered by ``"frequency"`` or ``"key"``."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    if order is None:
+        return counts
+    return counts.orderBy(F.desc("n"), column) if order == "frequency" else counts.orderBy(column)
 
 
 def return_rate(profile: DataFrame) -> DataFrame:

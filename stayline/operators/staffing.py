@@ -81,7 +81,9 @@ def mean_and_count(util: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
 
 def rows_per_doctor_day(util: DataFrame) -> DataFrame:
-    return util.groupBy("primary_resource_name", "appointment_date").agg(F.count("division_name").alias("n"))
+    """Rows per doctor and day, most first."""
+    counts = util.groupBy("primary_resource_name", "appointment_date").agg(F.count("division_name").alias("n"))
+    return counts.orderBy(F.desc("n"), "primary_resource_name", "appointment_date")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Imputation, lookups, sinks, refresh and registry on small frames."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -68,6 +69,28 @@ def test_tier_lookup_exact_near_and_default(spark):
     assert got == {"great dane": ("tier_1", 1.0), "old great dane": ("tier_1", 0.667), "poodle mix": ("None", 0.5), "zebra": ("oth", 0.0)}
 
 
+def test_tier_lookup_paths_agree_with_brute_force(spark):
+    rng = random.Random(11)
+    words = ["mix", "terrier", "dane", "lab", "toy", "blue", "old", "great"]
+
+    def name():
+        return " ".join(rng.sample(words, rng.randrange(1, 6)))
+
+    labelled = {name(): f"tier_{rng.randrange(1, 5)}" for _ in range(25)}
+    wanted = sorted({name() for _ in range(80)})
+    want = {}
+    for w in wanted:
+        scores = []
+        for label, tier in labelled.items():
+            a, b = set(w.split()), set(label.split())
+            if a & b:
+                scores.append((-len(a & b) / len(a | b), label, tier))
+        want[w] = (labelled[w], 1.0) if w in labelled else (min(scores)[2], -min(scores)[0]) if scores else ("oth", 0.0)
+    names, labels_df = spark.createDataFrame([(w,) for w in wanted], "breed string"), spark.createDataFrame(list(labelled.items()), LABELLED_BREEDS)
+    for short in (8, 3, 0):
+        assert {r.breed: (r.tier, r.tier_score) for r in breeds.tier_lookup(names, labels_df, short=short).collect()} == want
+
+
 def test_enrichment_appends_only_new_names(spark):
     labelled = spark.createDataFrame([("Pug", "tier_1")], LABELLED_BREEDS)
     known = spark.createDataFrame([("Pug", "tier_1", 1.0, "small")], "breed string, tier string, tier_score double, breed_size string")
