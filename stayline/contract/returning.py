@@ -76,12 +76,12 @@ QUERIES: dict[str, Query] = {
     "return_flag": Query(
         _flag,
         "animal_id:i visit_more_than_once:i",
-        "select id as animal_id, case when id in (select animal_id from v_returner_days where rank_ > 1) then 1 else 0 end as visit_more_than_once from fx_animals",
+        "select id as animal_id, cast(id in (select animal_id from v_returners) as integer) as visit_more_than_once from fx_animals",
     ),
     "return_flag_lax": Query(
         lambda t: _flag(t, match_clinic=False, drop_excluded=False),
         "animal_id:i visit_more_than_once:i",
-        "select id as animal_id, case when id in (select animal_id from v_returner_days_lax where counts > 1) then 1 else 0 end as visit_more_than_once from fx_animals",
+        "select id as animal_id, cast(id in (select animal_id from v_returners_lax) as integer) as visit_more_than_once from fx_animals",
     ),
     "return_flag_counts": Query(
         lambda t: R.value_counts(R.animal_days(_profile(t)).select("animal_id", "visit_more_than_once").distinct(), "visit_more_than_once"),
