@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe
+from stayline.llm import bpe, langid, pii, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,27 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~_held_out()), langid.pieces(tokenizer_path("piece_bpe_32k.model")))
+    said = docs.select("doc_id", _held_out().alias("held_out"), langid.predict(F.col("text"), model).alias("said"))
+    return said.select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every text; the rules are learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learn(docs, table(spark, sf_dir, "labels"))
+    said = quality.judged(docs, rules)
+    counts = [F.col(f"_stats.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return said.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_rule").alias("rule"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text that they decode to, as digests."""
     path = tokenizer_path()
@@ -28,5 +49,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe,)}
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: counts and digest of the base spans, and all spans."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("spans"))
+    base = F.filter("spans", lambda s: ~s["added"])
+    of_kind = lambda kind: lambda s: s["kind"] == kind
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter(base, of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    added = F.size(F.filter("spans", lambda s: s["added"])).cast("long").alias("n_added")
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), added)
+
+
+QUERIES = {f.__name__: f for f in (op1_langid, op3_quality, op4_bpe, op8_pii)}
 ORACLES: dict[str, str] = {}
