@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, langid, pii, quality
+from stayline.llm import bpe, langid, pii, quality, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every vector whose id is divisible by 100, among all others."""
+    vectors = table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding"))).select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
+    return topk.search(vectors.where("vec_id % 100 = 0"), vectors)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every text: counts and digest of the base spans, and all spans."""
     found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("spans"))
@@ -60,5 +66,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), added)
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op3_quality, op4_bpe, op8_pii)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back."""
+    return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+QUERIES = {f.__name__: f for f in (op1_langid, op3_quality, op4_bpe, op6_topk, op8_pii, op10_warc)}
 ORACLES: dict[str, str] = {}
