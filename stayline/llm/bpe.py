@@ -13,8 +13,8 @@ table gives an empty result. Ids outside the vocabulary are left out when decodi
 from __future__ import annotations
 
 import json
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ SPLIT = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Pretokens and token pairs that a worker remembers at most; then it starts afresh. Speed only, never results.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,8 +69,15 @@ class Codec:
         self.pieces = regex.compile(SPLIT).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        # the tokens' bytes end to end; the last entry is empty and stands for unknown ids
+        table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=-1) + 1)] + [b""]
+        self.sizes = np.array([len(t) for t in table], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.letters = np.frombuffer(b"".join(table), np.uint8)
 
     def side_by_side(self, a: int, b: int) -> bool:
         """Whether ``a`` then ``b`` stay two tokens: goes back through the merges that made them, the latest first, and
@@ -135,28 +142,55 @@ class Codec:
         out.reverse()
         return tuple(out)
 
-    def ids_of(self, piece: str) -> tuple[int, ...]:
-        """Encodes a pretoken that is not at hand; what was used lately outlives a full memory."""
-        ids = self.older.get(piece) or self.encode_piece(piece)
+    def packed_piece(self, piece: str) -> bytes:
+        """The ids of a pretoken as 32-bit integers; what was used lately outlives a full memory."""
+        ids = self.known.get(piece) or self.older.get(piece) or array("i", self.encode_piece(piece)).tobytes()
         if len(piece) <= 64:
             if len(self.known) >= REMEMBERED // 2:
                 self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def packed_word(self, word: str) -> bytes:
+        """The ids of a space and the word after it."""
+        ids = self.older_words.get(word) or b"".join(map(self.packed_piece, self.pieces(" " + word)))
+        if len(word) <= 64:
+            if len(self.words) >= REMEMBERED // 2:
+                self.older_words, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
+
+    def packed_plain(self, text: str) -> bytes:
+        if "  " in text:
+            return b"".join(map(self.packed_piece, self.pieces(text)))
+        # No pretoken crosses a single space but to start with it, so such words can be coded one by one.
+        first, *words = text.split(" ")
+        at_hand = self.words.get
+        lead = b"".join(map(self.packed_piece, self.pieces(first)))
+        return lead + b"".join([at_hand(w) or self.packed_word(w) for w in words])
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, as 32-bit integers."""
         if self.cut and any(t in text for t in self.added):
             parts = self.cut.split(text)
-            return list(chain.from_iterable([self.added[p]] if p in self.added else self.encode_plain(p) for p in parts))
-        return self.encode_plain(text)
+            return b"".join([array("i", [self.added[p]]).tobytes() if p in self.added else self.packed_plain(p) for p in parts])
+        return self.packed_plain(text)
 
-    def encode_plain(self, text: str) -> list[int]:
-        at_hand = self.known.get
-        return list(chain.from_iterable([at_hand(p) or self.ids_of(p) for p in self.pieces(text)]))
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+    def decode_packed(self, ids: np.ndarray) -> str:
+        if not len(ids):
+            return ""
+        ids = np.where((ids >= 0) & (ids < len(self.sizes)), ids, len(self.sizes) - 1)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        # source of each written byte: its token's start in the table, plus its place in the token
+        place = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        return self.letters[place].tobytes().decode("utf-8", errors="replace")
 
     def decode(self, ids) -> str:
-        bytes_of = self.bytes_of
-        return b"".join([bytes_of.get(i, b"") for i in ids]).decode("utf-8", errors="replace")
+        return self.decode_packed(np.asarray(ids, np.int64))
 
 
 @lru_cache(maxsize=2)
@@ -176,13 +210,9 @@ def encode(text: Column, path: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own = codec(content)
-        offsets, flat = [0], []
-        for value in texts:
-            row = own.encode(value.as_py() or "")
-            flat.append(np.array(row, dtype=np.int32))
-            offsets.append(offsets[-1] + len(row))
-        values = np.concatenate(flat) if flat else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+        rows = [own.packed(value.as_py() or "") for value in texts]
+        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4)])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
     return ids(text)
 
@@ -194,6 +224,8 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
         own = codec(content)
-        return pa.array([None if v.as_py() is None else own.decode(v.as_py()) for v in lists], pa.string())
+        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        known = lists.is_valid().to_pylist()
+        return pa.array([own.decode_packed(flat[ends[i] : ends[i + 1]]) if known[i] else None for i in range(len(lists))], pa.string())
 
     return text(ids)
