@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, langid, pii, quality, topk, warc
+from stayline.llm import bpe, langid, pii, quality, repeats, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,13 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of 100-byte strings that also start earlier."""
+    left = repeats.remove(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every text; the rules are learned from ``labels``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,5 +78,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op3_quality, op4_bpe, op6_topk, op8_pii, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op6_topk, op8_pii, op10_warc)}
 ORACLES: dict[str, str] = {}
