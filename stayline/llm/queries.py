@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, langid, pii, quality, repeats, topk, warc
+from stayline.llm import bpe, jaccard, langid, pii, quality, repeats, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,10 +73,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), added)
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents connected by links of 85 % or more of their four-word shingles."""
+    return jaccard.join(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, written to archives and read back."""
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op6_topk, op8_pii, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op6_topk, op8_pii, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
