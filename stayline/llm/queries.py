@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, pii, quality, repeats, topk, warc
+from stayline.llm import bpe, jaccard, langid, mixing, pii, quality, repeats, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document in a mixture of the sources by the power 0.7 of their sizes."""
+    said = mixing.scheduled(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return said.select("row.doc_id", "source", "block", "release", "due", "slot", "place_in_block")
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products of every vector whose id is divisible by 100, among all others."""
     vectors = table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding"))).select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
@@ -83,5 +89,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op6_topk, op8_pii, op9_jaccard, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op8_pii, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
