@@ -218,7 +218,8 @@ def describe(rules: list[Rule]) -> list[str]:
 
 
 def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``docs`` with _stats, _base_failed, _rule (number of the rule that rejects) and _kept."""
-    stats = docs.withColumn("_stats", statistics(F.col("text")))
-    tested = stats.withColumns({"_base_failed": base_failed(F.col("_stats")), "_rule": verdict(rules, F.col("_stats"))})
-    return tested.withColumn("_kept", ~F.col("_base_failed") & F.col("_rule").isNull())
+    """row (a struct of the columns of ``docs``, whatever their names), stats, base_failed, rule (number of the rule that
+    rejects) and kept."""
+    stats = docs.select(F.struct("*").alias("row"), statistics(F.col("text")).alias("stats"))
+    tested = stats.withColumns({"base_failed": base_failed(F.col("stats")), "rule": verdict(rules, F.col("stats"))})
+    return tested.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())

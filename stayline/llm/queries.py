@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, mixing, pii, quality, repeats, topk, warc
+from stayline.llm import bpe, jaccard, langid, licences, mixing, pii, quality, repeats, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +42,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
     said = quality.judged(docs, rules)
-    counts = [F.col(f"_stats.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return said.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_rule").alias("rule"))
+    counts = [F.col(f"stats.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return said.select("row.doc_id", *counts, "base_failed", "kept", "rule")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,12 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors.where("vec_id % 100 = 0"), vectors)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paragraphs of all documents that are licence notices, with their family."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every text: counts and digest of the base spans, and all spans."""
     found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("spans"))
@@ -89,5 +95,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op8_pii, op9_jaccard, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op7_licences, op8_pii, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
