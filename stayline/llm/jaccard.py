@@ -220,30 +220,28 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, group_r
     grouped = _written(grouped.select("rep", "size", F.xxhash64("leader", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
 
     told = shared.join(grouped.select(F.col("rep").alias("id"), "group"), F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
-    matrix = told.groupBy("token", F.col("group").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    # Each pair of groups is looked at from one side.
-    met = told.join(matrix, "token").where(F.col("group") <= F.col("other"))
+    matrix = told.groupBy("token", F.col("group").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("holders"))
+    # In a class's own group a shingle counts only if another member holds it too.
+    met = told.join(matrix, "token").where((F.col("group") != F.col("other")) | (F.col("holders") > 1))
     met = met.groupBy("rep", "size", "group", "other").agg(F.count("*").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
     fits = (100 * F.col("high") >= percent * F.col("size")) & (percent * F.col("low") <= 100 * F.col("size"))
     size = F.col("size").cast("double")
     ends = [F.greatest(F.col("low").cast("double"), size * percent / 100), F.least(F.col("high").cast("double"), size * 100 / percent)]
-    qualified = met.where(fits & (_reaches(size, ends[0], F.col("hits"), percent) | _reaches(size, ends[1], F.col("hits"), percent)))
-    qualified = qualified.select("rep", "group", "other")
+    enough = _reaches(size, ends[0], F.col("hits"), percent) | _reaches(size, ends[1], F.col("hits"), percent)
+    qualified = _written(met.where(fits & enough).select("rep", "group", "other"), "qualified")
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["doc_id"], "tokens": [shingle_set(t, words).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["doc_id"], "tokens": [shingle_set(t, words).tobytes() for t in batch["text"]]})
 
-    needed = grouped.select(F.col("rep").alias("id"))
+    needed = qualified.select(F.col("rep").alias("id")).distinct()
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = _written(texts.mapInPandas(gather, "rep long, tokens binary"), "sets")
-
-    named = sets.withColumnRenamed("rep", "id")
-    asked = qualified.join(named, F.col("rep") == F.col("id")).select("group", "other", "rep", "tokens")
-    pairs = qualified.select("group", "other").distinct()
-    members = pairs.join(grouped.select("rep", F.col("group").alias("g")), F.col("other") == F.col("g"))
-    # Names of its own, as both sides stem from the same tables.
-    members = members.join(named, F.col("rep") == F.col("id")).select(*[F.col(c).alias(f"member_{c}") for c in ("group", "other", "rep", "tokens")])
+    sets = _written(texts.mapInPandas(gather, "id long, tokens binary"), "sets")
+
+    # Two linked classes qualify for each other's groups, so a pair of groups is opened with those of either side that do.
+    sides = qualified.join(sets, F.col("rep") == F.col("id")).select("group", "other", "rep", "tokens")
+    asked = sides.where("group <= other")
+    members = sides.where("group >= other").select(F.col("other").alias("member_group"), F.col("group").alias("member_other"), F.col("rep").alias("member_rep"), F.col("tokens").alias("member_tokens"))
     opened = asked.groupBy("group", "other").cogroup(members.groupBy("member_group", "member_other"))
     return opened.applyInPandas(lambda a, m: open_groups(a, m, percent), "a long, b long")
 
