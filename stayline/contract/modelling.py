@@ -125,7 +125,7 @@ def _glm_summary(t: Inputs):
 
 def _mlp(t: Inputs):
     rows = _first_visits(t)
-    model = models.fit_network(rows.where("is_train"), _FIRST, "visit_more_than_once", iterations=40)
+    model = models.fit_network(rows.where("is_train"), _FIRST, "visit_more_than_once")
     scored = models.predict_network(model, rows.where("not is_train"), _FIRST)
     return metrics.confusion(models.at_optimal_cutoff(scored, "visit_more_than_once"))
 

@@ -226,7 +226,7 @@ select * from (
 with listed as (
   select cd.uid, cd.day as date, p.is_medical, w.wellness_plan, t.product_name, t.revenue
   from v_visits_rows cd
-  join fx_transactions t on cd.uid = concat_ws('_', t.location_id, t.animal_id) and cd.day = cast(t.datetime_date as date)
+  join fx_transactions t on cd.uid = cast(t.location_id as varchar) || '_' || cast(t.animal_id as varchar) and cd.day = cast(t.datetime_date as date)
   join fx_animals a on a.id = t.animal_id
   join fx_products p on (p.ezyvet_id, p.location_id) = (t.product_id, t.location_id)
   left join fx_contacts c on (c.ezyvet_id, c.location_id) = (a.contact_id, t.location_id)

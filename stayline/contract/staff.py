@@ -42,7 +42,7 @@ def _percentiles(t: Inputs):
 
 
 def _weekday_box(t: Inputs):
-    return O.box_stats(_study(t), "rev_per_hour", ["network", "weekday"], few_groups=True)
+    return O.box_stats(_study(t), "rev_per_hour", ["network", "weekday"])
 
 
 def _split_counts(t: Inputs):
@@ -92,10 +92,15 @@ from (select *, rev_per_hour between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q
   from (select network, weekday, rev_per_hour, quantile_cont(rev_per_hour, 0.25) over w as q1, quantile_cont(rev_per_hour, 0.5) over w as median,
     quantile_cont(rev_per_hour, 0.75) over w as q3 from v_study window w as (partition by network, weekday)))
 group by 1, 2, 3, 4, 5"""
-_DENSITY = f"""
-select weekday, g as at, sum(exp(-0.5 * power((g - rev_per_hour) / h, 2))) / (n * h * sqrt(2 * pi())) as density
-from (select weekday, rev_per_hour, count(*) over w as n, stddev_samp(rev_per_hour) over w * power(count(*) over w, -0.2) as h from v_study window w as (partition by weekday)),
-  (select unnest({GRID}) as g) group by weekday, g, n, h"""
+
+
+def _density_sql(keys: str) -> str:
+    return f"""
+select {keys}, g as at, sum(exp(-0.5 * power((g - rev_per_hour) / h, 2))) / (n * h * sqrt(2 * pi())) as density
+from (select {keys}, rev_per_hour, count(*) over w as n, nullif(stddev_samp(rev_per_hour) over w * power(count(*) over w, -0.2), 0) as h from v_study window w as (partition by {keys})),
+  (select unnest({GRID}) as g) group by {keys}, g, n, h"""
+
+
 _CODES = "[" + ", ".join(f"'{c}'" for c in NETWORK_CODES) + "]"
 
 QUERIES: dict[str, Query] = {
@@ -142,7 +147,12 @@ QUERIES: dict[str, Query] = {
     "percentiles": Query(_percentiles, "prob:d value:r4", _PCT),
     "box_stats": Query(_weekday_box, "network:s weekday:i q1:r4 median:r4 q3:r4 low_whisker:r4 high_whisker:r4 outliers:i n:i", _BOX),
     "corr_matrix": Query(lambda t: S.correlations(_study(t), _NUMBERS), "column_a:s column_b:s r:r6", _CORR),
-    "density_grid": Query(lambda t: O.density(_study(t), "rev_per_hour", "weekday", GRID, few_groups=True), "weekday:i at:d density:r9", _DENSITY),
+    "density_grid": Query(lambda t: O.density(_study(t), "rev_per_hour", "weekday", GRID), "weekday:i at:d density:r9", _density_sql("weekday")),
+    "density_division": Query(
+        lambda t: O.density(_study(t), "rev_per_hour", ["division_name", "weekday"], GRID),
+        "division_name:s weekday:i at:d density:r9",
+        _density_sql("division_name, weekday"),
+    ),
     "network_split": Query(
         _split_counts,
         "side:s division_name:s n:i",

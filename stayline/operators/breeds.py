@@ -20,8 +20,18 @@ def with_breed_attributes(df: DataFrame, breeds: DataFrame) -> DataFrame:
     return df.join(breeds.select("breed", "tier", "breed_size"), "breed")
 
 
-def with_size(names: DataFrame, rules: Mapping[str, Sequence[str]], column: str = "breed") -> DataFrame:
-    return names.withColumn("breed_size", classify_by_keywords(F.col(column), rules))
+def with_size(names: DataFrame, rules: Mapping[str, Sequence[str]] | DataFrame, column: str = "breed") -> DataFrame:
+    """Size class by keyword. ``rules`` are lists by class, or a table (size_class, keyword) that stays in Spark: its lists
+    come in by a scalar subquery."""
+    if not isinstance(rules, DataFrame):
+        return names.withColumn("breed_size", classify_by_keywords(F.col(column), rules))
+    lists = rules.where("size_class is not null and keyword is not null").groupBy("size_class").agg(F.collect_set(F.lower("keyword")).alias("words"))
+    found = names.withColumn("_lists", lists.agg(F.map_from_entries(F.collect_list(F.struct("size_class", "words")))).scalar())
+    out = F.when(F.col(column).isNotNull(), P.DEFAULT_SIZE)
+    for name in P.SIZE_PRIORITY:  # the last class with a keyword in the name wins
+        hit = F.exists(F.coalesce(F.try_element_at("_lists", F.lit(name)), F.array().cast("array<string>")), lambda word: F.contains(F.lower(F.col(column)), word))
+        out = F.when(hit, name).otherwise(out)
+    return found.withColumn("breed_size", out).drop("_lists")
 
 
 def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed", short: int = 8) -> DataFrame:

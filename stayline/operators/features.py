@@ -72,9 +72,8 @@ def impute(rows: DataFrame, levels: int = 2, zero_missing: bool = True, by: str
         rows = rows.withColumn("weight", zero_to_null(F.col("weight")))
     table = imputation_table(rows, levels, by).withColumnRenamed("ani_age", "_age").withColumnRenamed("breed_size", "_size").withColumnRenamed(by, "_by")
     match = (F.col(by) == F.col("_by")) & F.col("ani_age").eqNullSafe(F.col("_age")) & F.col("breed_size").eqNullSafe(F.col("_size"))
-    # Bounded by visit numbers x whole years of age x size classes, not by patients.
     return (
-        rows.join(F.broadcast(table), match)
+        rows.join(table, match)
         .withColumn("ani_age", F.col("age_filled"))
         .withColumn("weight", F.coalesce(F.col("weight").cast("double"), "weight_filled"))
         .drop("_by", "_age", "_size", "age_filled", "weight_filled")

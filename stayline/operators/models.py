@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -126,33 +125,3 @@ def at_optimal_cutoff(scored: DataFrame, label: str) -> DataFrame:
 def fit_linear(df: DataFrame, columns: Sequence[str], label: str):
     data = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip").transform(df.where(F.col(label).isNotNull()))
     return LinearRegression(labelCol=label).fit(data.select("features", label))
-
-
-def t_test_p_value(t: float, freedom: float) -> float:
-    """Two-sided p-value of Student's t, from two scalars, by the incomplete beta integral."""
-    x = freedom / (freedom + t * t)
-    a, b = freedom / 2.0, 0.5
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1) / (a + b + 2):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1 - x) / b
-
-
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
-    d = 1 / (d if abs(d) > tiny else tiny)
-    out = d
-    for m in range(1, 500):
-        for k in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 + k * d
-            d = 1 / (d if abs(d) > tiny else tiny)
-            c = 1 + k / c
-            c = c if abs(c) > tiny else tiny
-            out *= d * c
-        if abs(d * c - 1) < 1e-14:
-            break
-    return out

@@ -14,7 +14,7 @@ def _coarse_slot(value: Column) -> Column:
 
 
 def percentiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), few_groups: bool = False, pieces: int = 4096
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), pieces: int = 4096
 ) -> DataFrame:
     """Linear-interpolated percentiles of ``value`` per group; nulls ignored.
 
@@ -24,10 +24,10 @@ def percentiles(
     and only the pieces that hold them are sorted.
 
     The located slots and pieces number at most two per percentile and group, so they are
-    broadcast when the groups are few (none, or ``few_groups``); else Spark decides.
+    broadcast if there are no groups; else Spark decides.
     """
     by = list(by)
-    hint = F.broadcast if few_groups or not by else (lambda frame: frame)
+    hint = F.broadcast if not by else (lambda frame: frame)
     values = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
     values = values.withColumn("slot", _coarse_slot(F.col("v")))
     # The later join implies these filters on one of its sides. Stated here, both readers of
@@ -74,12 +74,12 @@ def _hit(df: DataFrame, start: str, n: str) -> DataFrame:
     return df.withColumn("wants", kept).where(F.size("wants") > 0)
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str], few_groups: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and outlier count per group."""
     by = list(by)
     named = F.when(F.col("prob") == 0.25, "q1").when(F.col("prob") == 0.5, "median").otherwise("q3")
     quartiles = (
-        percentiles(df, value, (0.25, 0.5, 0.75), by, few_groups)
+        percentiles(df, value, (0.25, 0.5, 0.75), by)
         .withColumn("q", named)
         .groupBy(*by)
         .pivot("q", ["q1", "median", "q3"])
@@ -91,7 +91,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], few_groups: bool = F
     quartiles = quartiles.withColumn("reach", reach)
     return (
         df.where(v.isNotNull())
-        .join(F.broadcast(quartiles) if few_groups else quartiles, by)
+        .join(quartiles, by)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("low_whisker"),
@@ -117,23 +117,27 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-def density(df: DataFrame, value: str, by: str, grid: Sequence[float], few_groups: bool = False) -> DataFrame:
-    """Gaussian kernel density on a fixed grid, with Scott's bandwidth per group.
+def density(df: DataFrame, value: str, by: str | Sequence[str], grid: Sequence[float]) -> DataFrame:
+    """Gaussian kernel density on a fixed grid, with Scott's bandwidth per group of one or several keys.
 
     The grid is a short list of literals, so each grid point is one partial sum: rows are
-    neither multiplied by the grid nor brought together before they are summed.
+    neither multiplied by the grid nor brought together before they are summed. Squares are
+    taken from the group's mean, so large values cost no precision. A group without spread
+    (one value, or all equal) has no bandwidth; its densities are null.
     """
-    rows = df.where(F.col(value).isNotNull()).groupBy(by, F.col(value).cast("double").alias("x")).agg(F.count("*").alias("m"))
-    n, s1, s2 = F.sum("m"), F.sum(F.col("x") * F.col("m")), F.sum(F.col("x") * F.col("x") * F.col("m"))
-    moments = rows.groupBy(by).agg(n.alias("n"), (s1 / n).alias("mean"), F.sqrt(F.try_divide(s2 - s1 * s1 / n, n - 1)).alias("sd"))
-    width = moments.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))
-    near = rows.join(F.broadcast(width) if few_groups else width, by).where("h > 0")
+    keys = [by] if isinstance(by, str) else list(by)
+    rows = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("x")).agg(F.count("*").alias("m"))
+    means = rows.groupBy(*keys).agg(F.sum("m").alias("n"), F.sum(F.col("x") * F.col("m")).alias("s1"))
+    centred = rows.join(means, keys).withColumn("d", F.col("x") - F.col("s1") / F.col("n"))
+    spread = centred.groupBy(*keys).agg(F.sum(F.col("d") * F.col("d") * F.col("m")).alias("s2"))
+    deviation = F.sqrt(F.try_divide(F.col("s2"), F.col("n") - 1))
+    near = centred.join(spread, keys).withColumn("h", F.nullif(deviation * F.pow(F.col("n"), F.lit(-0.2)), F.lit(0.0)))
 
     def kernel(g: float):
         z = (F.lit(float(g)) - F.col("x")) / F.col("h")
         return F.sum(F.col("m") * F.exp(-0.5 * z * z))
 
-    sums = near.groupBy(by, "n", "h").agg(F.array(*[kernel(g) for g in grid]).alias("k"))
+    sums = near.groupBy(*keys, "n", "h").agg(F.array(*[kernel(g) for g in grid]).alias("k"))
     points = F.arrays_zip(F.array(*[F.lit(float(g)) for g in grid]).alias("g"), F.col("k"))
     scale = F.col("n") * F.col("h") * F.lit(2.5066282746310002)
-    return sums.withColumn("p", F.explode(points)).select(by, F.col("p.g").alias("at"), (F.col("p.k") / scale).alias("density"))
+    return sums.withColumn("p", F.explode(points)).select(*keys, F.col("p.g").alias("at"), (F.col("p.k") / scale).alias("density"))

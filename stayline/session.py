@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,21 +30,12 @@ def build_session(app: str = "stayline", master: str | None = None, **extra: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``.
-
-    A temporary folder is used only where the setting is missing *and* the session is
-    local; on a cluster a machine-local folder would be lost with its executor.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stayline-")
-    spark.sparkContext.setCheckpointDir(folder)
+    """The cluster's shared folder, from ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse,
+    which executors share too."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stayline-work"
+    if folder.startswith("file:/") and not folder.startswith("file:///"):
+        folder = "file:///" + folder.removeprefix("file:/")
     return folder
 
 

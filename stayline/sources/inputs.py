@@ -116,10 +116,11 @@ class Inputs:
         kind = F.col("p_type")
         group = F.when(kind == "PROMO", RAW_GROUPS[4]).when(kind == "SMALL", RAW_GROUPS[0]).when(kind == "MEDIUM", RAW_GROUPS[2])
         group = group.when(kind == "LARGE", RAW_GROUPS[3]).when(kind == "ECONOMY", RAW_GROUPS[5]).otherwise(RAW_GROUPS[1])
-        # One catalogue row per clinic: a generator per product row, not a join.
-        return self.raw("part").select(
+        # One catalogue row per clinic: a generator over the list of clinics, not a join.
+        clinics = self.raw("nation").agg(F.collect_list("n_nationkey")).scalar()
+        return self.raw("part").withColumn("clinics", clinics).select(
             F.col("p_partkey").alias("ezyvet_id"),
-            F.explode(F.sequence(F.lit(0), F.lit(24))).alias("location_id"),
+            F.explode("clinics").alias("location_id"),
             F.col("p_name").alias("name"),
             F.col("p_brand").alias("type"),
             kind.alias("tracking_level"),

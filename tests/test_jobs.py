@@ -24,11 +24,10 @@ def test_train_record_score_and_append(spark):
     model = registry.load_best(spark, folder, 1)
 
     table = work_path(spark, "scores")
-    score_plan.score_and_append(inputs, {1: model}, AS_OF, inputs.scored, table)
+    score_plan.score_and_append(inputs, {1: model}, AS_OF, table)
     stored = cut_lineage(sinks.read_back(spark, table))
     assert stored.count() == stored.select("uid").distinct().count() > 0
-    both = inputs.scored.select("uid", "predict_for_visit_number").unionByName(stored.select("uid", F.col("predict_for_visit_number").cast("int")))
-    score_plan.score_and_append(inputs, {1: model}, AS_OF, both, table)
+    score_plan.score_and_append(inputs, {1: model}, AS_OF, table)
     assert sinks.read_back(spark, table).count() == stored.count()
     sums = stored.select(sum(F.col(c) for c in scoring.PROBS).alias("s")).agg(F.min("s"), F.max("s")).first()
     assert 0.99 <= sums[0] <= sums[1] <= 1.01

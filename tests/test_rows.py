@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import breeds, features, labels, lifecycle, models, returns, scoring
+from stayline.operators.breeds import with_size
 from stayline.operators.rows import repeat_rows, split_by
 from stayline.plans.enrichment import enrich
 from stayline.session import shared_folder, work_path
@@ -111,7 +112,11 @@ def test_csv_keeps_quoted_commas_and_quotes(spark, tmp_path):
 
 def test_size_keywords_file(spark, tmp_path):
     (tmp_path / "k.csv").write_text('size_class,keyword\nsmall,pug\nsmall,"king, charles"\ncat,tabby\n')
-    assert read_size_keywords(spark, str(tmp_path / "k.csv")) == {"small": ["pug", "king, charles"], "cat": ["tabby"]}
+    rules = read_size_keywords(spark, str(tmp_path / "k.csv"))
+    names = spark.createDataFrame([("Pug mix",), ("tabby pug",), ("KING, CHARLES",), ("other",), (None,)], "breed string")
+    got = {r.breed: r.breed_size for r in with_size(names, rules).collect()}
+    lists = {"small": ["pug", "king, charles"], "cat": ["tabby"]}
+    assert got == {r.breed: r.breed_size for r in with_size(names, lists).collect()} and got["Pug mix"] == "small" and got[None] is None
 
 
 def score_frame(spark, uids):
