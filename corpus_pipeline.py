@@ -23,6 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents the one with the smallest id; rows without an id stay."""
     gone = jaccard.join(docs, words=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    path = work_path(spark, "gone")
+    gone.write.parquet(path)
+    gone = spark.read.parquet(path)
+    if gone.count() <= jaccard.BROADCAST_IDS:
+        gone = F.broadcast(gone)  # else all texts would be shuffled to meet a few ids
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
