@@ -81,7 +81,7 @@ def _bands(t: Inputs, binary: bool):
 
 
 def _sanity(t: Inputs):
-    days = spend.pick_visit(_snapshot(t, attributes=True).days, 2)
+    days = spend.pick_visit(_snapshot(t, attributes=True).days, up_to=5)
     return features.sanity_counters(features.patient_rows(days, t.breeds))
 
 
@@ -234,8 +234,9 @@ with listed as (
   left join v_wellness w on w.uid = cd.uid and w.day = cd.day),
 totals as (select uid, count(wellness_plan) as wellness_plan_count, count(*) filter (where starts_with(product_name, 'hot gi')) as free_count from listed group by uid),
 ranks as (select uid, date, row_number() over (partition by uid order by date) as rank_ from (select distinct uid, date from listed))
-select * from listed join totals using (uid) join ranks using (uid, date))"""
-_PROMO_SPEC = "uid:s date:s is_medical:i wellness_plan:s wellness_plan_count:i product_name:s free_count:i revenue:d rank_:i"
+select uid, date, is_medical, wellness_plan, wellness_plan_count, product_name, free_count, revenue, rank_, count(*) as repeats
+from listed join totals using (uid) join ranks using (uid, date) group by all)"""
+_PROMO_SPEC = "uid:s date:s is_medical:i wellness_plan:s wellness_plan_count:i product_name:s free_count:i revenue:d rank_:i repeats:i"
 
 _SNAP_COLS = "uid, visit_number, max_num_visit, visit_more_than_once, wellness_plan, product_count, most_recent_visit_spend, total_future_spend, total_past_spend"
 _SNAP_SPEC = f"uid:s visit_number:i max_num_visit:i visit_more_than_once:i wellness_plan:i product_count:i {SPENDS}"
@@ -292,10 +293,10 @@ QUERIES: dict[str, Query] = {
     ),
     "sanity_counters": Query(
         _sanity,
-        "uids:i missing_weight:i missing_age:i over_cap:i below_zero:i",
-        """select count(distinct uid) as uids, count(distinct case when weight is null or weight = 0 then uid end) as missing_weight,
+        "visit_number:i uids:i missing_weight:i missing_age:i over_cap:i below_zero:i",
+        """select visit_number, count(distinct uid) as uids, count(distinct case when weight is null or weight = 0 then uid end) as missing_weight,
           count(distinct case when ani_age is null then uid end) as missing_age, count(distinct case when total_future_spend > 5000 then uid end) as over_cap,
-          count(distinct case when total_future_spend < 0 then uid end) as below_zero from v_rows where visit_number = 2""",
+          count(distinct case when total_future_spend < 0 then uid end) as below_zero from v_rows group by visit_number""",
     ),
     "breed_weight_avg": Query(
         lambda t: features.breed_weight_avg(t.animals, t.transactions, AS_OF), "breed:s baby:s avg_weight:r8", "select breed, baby, weight_avg as avg_weight from v_breed_weight"

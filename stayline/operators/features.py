@@ -102,15 +102,15 @@ def feature_frame(rows: DataFrame, clip_future: bool = True, levels: int = 2, ze
 
 
 def sanity_counters(patients: DataFrame) -> DataFrame:
-    """Distinct-uid counters. Flags are folded per uid first, so one shuffle serves all five."""
+    """Distinct-uid counters per visit number. Flags are folded per uid first, so one shuffle serves all five."""
     future = F.col("total_future_spend")
-    per_uid = patients.groupBy("uid").agg(
+    per_uid = patients.groupBy("visit_number", "uid").agg(
         F.max(as_flag(F.col("weight").isNull() | (F.col("weight") == 0))).alias("w"),
         F.max(as_flag(F.col("ani_age").isNull())).alias("a"),
         F.max(as_flag(future > P.SPEND_CAP)).alias("o"),
         F.max(as_flag(future < 0)).alias("u"),
     )
-    return per_uid.agg(
+    return per_uid.groupBy("visit_number").agg(
         F.count("*").alias("uids"), F.sum("w").alias("missing_weight"), F.sum("a").alias("missing_age"),
         F.sum("o").alias("over_cap"), F.sum("u").alias("below_zero"),
     )

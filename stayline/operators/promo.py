@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stayline import params as P
 from stayline.functions.numeric import as_flag
-from stayline.operators.rows import repeat_rows
 from stayline.operators.visits import with_uid_day
 
 
@@ -15,7 +14,7 @@ def promo_listing(
     transactions: DataFrame, products: DataFrame, animals: DataFrame, contacts: DataFrame, appointments: DataFrame,
     visits: DataFrame, wellness: DataFrame, promo_prefix: str = P.PROMO_PREFIX, more_than: int | None = None,
 ) -> DataFrame:
-    """Every joined line with its patient's membership and promo counts.
+    """The joined lines with their patient's membership and promo counts: equal rows are one, with how often it ``repeats``.
 
     Contacts and appointments add no column, only repeats, so they enter as row counts
     per (contact, clinic). The per-patient counts are sums of (uid, day) sums: a busy
@@ -53,12 +52,13 @@ def promo_listing(
         .withColumn("wellness_plan_count", F.sum(F.col("rows") * F.col("times") * F.coalesce("w_plans", F.lit(0))).over(whole))
         .withColumn("free_count", F.sum(F.col("promos") * F.col("times") * F.greatest(F.coalesce("w_rows", F.lit(0)), F.lit(1))).over(whole))
         .withColumn("rank_", F.dense_rank().over(whole.orderBy("day")))
-        .select("uid", "day", "times", "wellness_plan_count", "free_count", "rank_")
+        .select("uid", "day", "animal_id", "location_id", "times", "wellness_plan_count", "free_count", "rank_")
     )
     if more_than is not None:
         counts = counts.where(F.col("free_count") > more_than)
-    listed = joined.join(counts, ["uid", "day"]).join(wellness.select("uid", "day", "wellness_plan"), ["uid", "day"], "left")
-    return repeat_rows(listed, "times").select(
-        "uid", F.col("day").alias("date"), "is_medical", "wellness_plan", "wellness_plan_count", "product_name", "free_count",
-        "revenue", "rank_",
-    )
+    lines = joined.groupBy("uid", "day", "animal_id", "location_id", "is_medical", "product_name", "revenue").agg(F.count("*").alias("lines"))
+    held = wellness.groupBy("uid", "day", "wellness_plan").agg(F.count("*").alias("plans"))
+    listed = lines.join(counts, ["uid", "day", "animal_id", "location_id"]).join(held, ["uid", "day"], "left")
+    keys = ["is_medical", "wellness_plan", "wellness_plan_count", "product_name", "free_count", "revenue", "rank_"]
+    repeats = F.sum(F.col("lines") * F.col("times") * F.coalesce("plans", F.lit(1)))
+    return listed.groupBy("uid", F.col("day").alias("date"), *keys).agg(repeats.alias("repeats"))

@@ -146,7 +146,7 @@ class Inputs:
 
     @cached_property
     def appointments(self) -> DataFrame:
-        booked = self.raw("orders").where(F.col("o_orderkey") % 8 == 0).select(F.col("o_custkey").alias("ezyvet_id"))
+        booked = self.raw("orders").select(F.col("o_custkey").alias("ezyvet_id"))
         where = self.raw("customer").select(F.col("c_custkey").alias("ezyvet_id"), F.col("c_nationkey").alias("location_id"))
         return booked.join(where, "ezyvet_id")
 
