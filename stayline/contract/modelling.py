@@ -47,7 +47,11 @@ _METRICS = " union all ".join([_weighted_sql("", _CELLS), _weighted_sql("_W/O_0"
 _ROC = """
 select score as threshold, sum(pos) over w / sum(pos) over () as tpr, sum(neg) over w / sum(neg) over () as fpr
 from (select score, cast(sum(target) as double) as pos, cast(sum(1 - target) as double) as neg from fx_predictions group by 1) window w as (order by score desc)"""
-_CUTOFF = f"select threshold, tpr, fpr from ({_ROC}) order by round(abs(tpr - (1 - fpr)), 12), threshold desc limit 1"
+_CUTOFF = """
+select threshold, tp / pt as tpr, fp / nt as fpr from (
+  select score as threshold, sum(pos) over w as tp, sum(neg) over w as fp, sum(pos) over () as pt, sum(neg) over () as nt
+  from (select score, sum(target) as pos, sum(1 - target) as neg from fx_predictions group by 1) window w as (order by score desc))
+order by abs(tp * nt - (nt - fp) * pt), threshold desc limit 1"""
 
 
 def _cascade(t: Inputs):
