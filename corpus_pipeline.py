@@ -44,10 +44,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it."""
-    path = tokenizer_path()
-    coded = docs.select("doc_id", "lang", "source", "text", bpe.encode(F.col("text"), path).alias("ids"))
-    same = bpe.decode(F.col("ids"), path) == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
+    bpe.bound_batches(spark)
+    coded = docs.select("doc_id", "lang", "source", "text", bpe.round_trip(F.col("text"), tokenizer_path()).alias("coded"))
+    same = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "lang", "source", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", same.alias("decodes"))
 
 
 STAGES = [

@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The split pattern of byte-level BPE, with white space named by its Unicode property.
@@ -27,7 +27,7 @@ SPLIT = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Pretokens and token pairs that a worker remembers at most; then it starts afresh. Speed only, never results.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -198,6 +198,12 @@ def codec(content: str) -> Codec:
     return Codec(content)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Sends ``rows`` texts at a time to Python. A batch's texts, ids and decoded texts are in a worker's memory at once, and
+    Spark's own 10,000 rows are too many for long texts. Speed and memory only, never results."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def _content(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -209,23 +215,45 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        own = codec(content)
-        rows = [own.packed(value.as_py() or "") for value in texts]
-        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4)])
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+        return _encoded(codec(content), texts)
 
     return ids(text)
 
 
+def _encoded(own: Codec, texts: pa.Array) -> pa.ListArray:
+    flat, ends = bytearray(), [0]
+    for value in texts:
+        flat += own.packed(value.as_py() or "")
+        ends.append(len(flat) // 4)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+
+
+def _decoded(own: Codec, lists: pa.ListArray) -> pa.Array:
+    flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    known = lists.is_valid().to_pylist()
+    return pa.array([own.decode_packed(flat[ends[i] : ends[i + 1]]) if known[i] else None for i in range(len(lists))], pa.string())
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """struct<ids, decoded>: the ids and the text that they decode to, by one call. ``decode(encode(text))`` beside
+    ``encode(text)`` would encode twice, as Spark puts both into one call to Python."""
+    content = _content(path)
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(texts: pa.Array) -> pa.Array:
+        own = codec(content)
+        ids = _encoded(own, texts)
+        return pa.StructArray.from_arrays([ids, _decoded(own, ids)], names=["ids", "decoded"])
+
+    return both(text)
+
+
 def decode(ids: Column, path: str) -> Column:
     """The text of a column of id arrays."""
     content = _content(path)
 
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
-        own = codec(content)
-        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        known = lists.is_valid().to_pylist()
-        return pa.array([own.decode_packed(flat[ends[i] : ends[i + 1]]) if known[i] else None for i in range(len(lists))], pa.string())
+        return _decoded(codec(content), lists)
 
     return text(ids)

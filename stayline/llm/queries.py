@@ -48,11 +48,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text that they decode to, as digests."""
-    path = tokenizer_path()
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    bpe.bound_batches(spark)
+    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path()).alias("coded"))
     return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+        "doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("coded.ids", ","), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
