@@ -5,8 +5,8 @@ finds which classes are connected by links of at least the wanted similarity:
 
 * All sets order their shingles alike, rare ones first, by a sketch of fixed size that counts every shingle of the corpus.
   Two linked sets must share one of their first (1 - similarity) * size + 1 shingles, so only these prefixes are matched.
-* Similar classes are put into groups: each goes to the smallest class that it shares most prefix shingles with, and large
-  groups are split. The matrix holds, for every group, the union of its members' prefix shingles and the range of sizes.
+* Similar classes are put into groups: each goes to the smallest class that it shares most prefix shingles with, by steps
+  of 5 % in size, and large groups are split. The matrix holds, for every group, the union of its members' prefix shingles and the range of sizes.
 * A class meets the groups whose union holds some of its prefix. From how many it holds, and the sizes, follows a bound on
   the overlap with any member; only groups where it suffices are opened. There the sets themselves are compared.
 * From an opened group come no pairs but a forest that connects what is linked; components follow by passing the smallest
@@ -20,6 +20,8 @@ table gives an empty result. Very long texts make large sets, which are compared
 
 from __future__ import annotations
 
+import gc
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,10 @@ from stayline.session import work_path
 
 _U = np.uint64
 #: Counters of the sketch (4 bytes each) and how many rows they are summed up in.
-COUNTERS, SLICES = 1 << 18, 16
+COUNTERS, SLICES = 1 << 20, 64
+_SHIFT = _U(44)  # leaves as many bits of a hash as number the counters
+#: Ids (8 bytes each) up to which a list of them is broadcast; longer lists are joined by shuffling.
+BROADCAST_IDS = 1_000_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -91,9 +96,10 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                np.add.at(total, (shingle_set(text, words) >> _U(46)).astype(np.int64), 1)
+                np.add.at(total, (shingle_set(text, words) >> _SHIFT).astype(np.int64), 1)
         part = TaskContext.get().partitionId() % 256
-        rows = [(i, part, total[i * width : (i + 1) * width].astype(np.uint32).tobytes()) for i in range(SLICES)]
+        total = np.minimum(total, 2**32 - 1).astype(np.uint32)
+        rows = [(i, part, total[i * width : (i + 1) * width].tobytes()) for i in range(SLICES)]
         yield pd.DataFrame(rows, columns=["slice", "part", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
@@ -108,9 +114,13 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    path = work_path(df.sparkSession, name)
+    """``df`` as a table in the shared folder. What the step has shuffled is of no use then; Spark deletes such files when
+    the driver collects its garbage, which is asked for here, so that disk holds one step's files at a time."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def signatures(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -122,7 +132,7 @@ def signatures(docs: DataFrame, words: int, percent: int, counts: np.ndarray) ->
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 own = shingle_set(text or "", words)
                 one, two = _mix(own).sum(), _mix(own ^ _U(0x5851F42D4C957F2D)).sum()
-                order = np.lexsort((own, counts[(own >> _U(46)).astype(np.int64)]))[: prefix_size(len(own), percent) if len(own) else 0]
+                order = np.lexsort((own, counts[(own >> _SHIFT).astype(np.int64)]))[: prefix_size(len(own), percent) if len(own) else 0]
                 out.append((doc, len(own), one.astype(np.int64), two.astype(np.int64), own[order].view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "size", "one", "two", "prefix"])
 
@@ -208,18 +218,22 @@ def components(links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, group_rows: int = 256, group_tokens: int = 400_000) -> DataFrame:
     """Edges (a, b) between class representatives that connect what is linked. ``classes``: rep, size, prefix."""
-    rows = classes.select("rep", "size", F.explode("prefix").alias("token"))
+    rows = classes.select("rep", F.explode("prefix").alias("token"))
     by_token = Window.partitionBy("token")
     shared = rows.select("*", F.min("rep").over(by_token).alias("least"), F.max("rep").over(by_token).alias("most"))
-    shared = _written(shared.where("least < most").select("token", "rep", "size", "least"), "shared")
-
-    nearest = shared.groupBy("rep", "least").agg(F.count("*").alias("n"), F.first("size").alias("size"))
-    leaders = nearest.groupBy("rep").agg(F.max_by("least", F.struct(F.col("n"), -F.col("least"))).alias("leader"), F.max("size").alias("size"))
+    shared = _written(shared.where("least < most").select("token", "rep", "least"), "shared")
+
+    nearest = shared.groupBy("rep", "least").agg(F.count("*").alias("n"))
+    leaders = nearest.groupBy("rep").agg(F.max_by("least", F.struct(F.col("n"), -F.col("least"))).alias("leader"))
+    sizes = classes.groupBy(F.col("rep").alias("id")).agg(F.max("size").alias("size"))
+    leaders = leaders.join(sizes, F.col("rep") == F.col("id")).drop("id")
+    # Members of a group differ by a few per cent in size: the narrower its range, the sharper the bound.
+    leaders = leaders.withColumn("leader", F.xxhash64("leader", F.floor(F.log("size") / math.log(1.05))))
     parts = leaders.groupBy(F.col("leader").alias("of")).agg(F.ceil(F.greatest(F.count("*") / group_rows, F.sum("size") / group_tokens)).alias("parts"))
     grouped = leaders.join(parts, F.col("leader") == F.col("of"))
     grouped = _written(grouped.select("rep", "size", F.xxhash64("leader", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
 
-    told = shared.join(grouped.select(F.col("rep").alias("id"), "group"), F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
+    told = shared.join(grouped.select(F.col("rep").alias("id"), "size", "group"), F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
     matrix = told.groupBy("token", F.col("group").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("holders"))
     # In a class's own group a shingle counts only if another member holds it too.
     met = told.join(matrix, "token").where((F.col("group") != F.col("other")) | (F.col("holders") > 1))
@@ -234,7 +248,9 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, group_r
         for batch in batches:
             yield pd.DataFrame({"id": batch["doc_id"], "tokens": [shingle_set(t, words).tobytes() for t in batch["text"]]})
 
-    needed = qualified.select(F.col("rep").alias("id")).distinct()
+    needed = _written(qualified.select(F.col("rep").alias("id")).distinct(), "needed")
+    if needed.count() <= BROADCAST_IDS:
+        needed = F.broadcast(needed)  # else all texts would be shuffled to meet a few ids
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
     sets = _written(texts.mapInPandas(gather, "id long, tokens binary"), "sets")
 
