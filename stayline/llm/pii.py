@@ -12,6 +12,7 @@ only take their share of time. Of spans that overlap, base spans stay and added
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -22,8 +23,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 # Letters of other scripts that look like a Latin one.
 LOOKALIKES = str.maketrans(
-    "аеорсухіјѕһԁɡոѵԛԝ" "АВЕКМНОРСТУХІЅЈ" "οανιρυκ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
-    "aeopcyxijshdgnvqw" "ABEKMHOPCTYXISJ" "oavipuk" "ABEZHIKMNOPTYX",
+    "аеорсухіјѕһԁɡոѵԛԝ" "АВЕКМНОРСТУХІЅЈ" "οανιρυκ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "ſıİ\u212a",
+    "aeopcyxijshdgnvqw" "ABEKMHOPCTYXISJ" "oavipuk" "ABEZHIKMNOPTYX" "siIK",
 )
 SPELLED = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
@@ -36,25 +37,33 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT_WORD = "|".join(SPELLED)
 _OPEN, _SHUT = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
+#: What follows a bare ``at``: a name with a spelled dot, or one that ends in two letters, so that no "at 3.5" or "at U.S." counts.
+_HOST = rf"[a-z0-9-]{{1,63}}(?:\.[a-z0-9-]{{1,63}})*(?:\s{{1,3}}dot\s{{1,3}}|{_OPEN}dot{_SHUT}|\.(?:[a-z]{{2,63}}|xn--[a-z0-9-]{{1,59}})(?![a-z0-9-]))"
 _DISGUISE = re.compile(
-    rf"(?P<at>{_OPEN}at{_SHUT}|(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]{{1,63}}(?:\s{{1,3}}dot\s{{1,3}}|{_OPEN}dot{_SHUT}|\.)))"
+    rf"(?P<at>{_OPEN}at{_SHUT}|(?<=[a-z0-9])\s{{1,3}}at\s{{1,3}}(?={_HOST}))"
     rf"|(?P<dot>{_OPEN}dot{_SHUT}|(?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?=[a-z0-9]))"
     rf"|(?P<plus>\bplus[\s-]{{1,3}}(?=(?:{_DIGIT_WORD})\b))"
     rf"|(?P<digit>(?<![a-z])(?:{_DIGIT_WORD})(?![a-z])(?:[\s,-]{{1,3}}(?=(?:{_DIGIT_WORD})(?![a-z])))?)",
     re.IGNORECASE,
 )
-_RUN = re.compile(rf"(?:{_DIGIT_WORD})(?:[\s,-]{{1,3}}(?:{_DIGIT_WORD})){{3}}")
-_HINT = re.compile(r"\bdot\b", re.IGNORECASE)
-_BRACKET = re.compile(r"[\[({<]\s{0,3}at\s{0,3}[\])}>]", re.IGNORECASE)
+# Necessary for a span to hold a disguise, each read in lower case: a spelled sign where _DISGUISE takes it, or a spelled
+# digit with another digit, in figures or spelled, before or after it. A digit word that stands alone is in no number, and
+# in an address it is found as it stands.
+_AT = re.compile(rf"at(?=\s{{0,3}}[\])}}>]|\s{{1,3}}{_HOST})")
+_DOT = re.compile(r"dot(?=\s{0,3}[\])}>]|\s{1,3}[a-z0-9])")
+_BETWEEN = r"[\s,().+-]*"
+_SPELLED = re.compile(rf"(?:{_DIGIT_WORD}){_BETWEEN}(?:[0-9]|{_DIGIT_WORD})|[0-9]{_BETWEEN}(?:{_DIGIT_WORD})")
 
 Span = tuple[int, int, str]
 
 
 def _plain_forms() -> dict[int, str]:
     """Characters that stand for one ASCII letter, digit or sign: look-alikes, and full-width, mathematical and enclosed
-    forms and other scripts' digits by their Unicode decomposition."""
+    forms by their Unicode decomposition, and the digits of all scripts."""
     out = {code: chr(plain) for code, plain in LOOKALIKES.items()}
-    for code in [*range(0x660, 0xA00), *range(0x2070, 0x20A0), *range(0x2460, 0x2500), *range(0xFE50, 0xFF5F), *range(0x1D400, 0x1D800)]:
+    formed = [*range(0x660, 0xA00), *range(0x2070, 0x20A0), *range(0x2460, 0x2500), *range(0xFE50, 0xFF5F), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)]
+    digits = [code for code in range(0x80, sys.maxunicode + 1) if chr(code).isdecimal()]
+    for code in dict.fromkeys([*formed, *digits]):
         shown = unicodedata.normalize("NFKC", chr(code))
         number = unicodedata.decimal(chr(code), None)
         if number is not None:
@@ -67,7 +76,7 @@ def _plain_forms() -> dict[int, str]:
 PLAIN = _plain_forms()
 #: Two classes, as the compiled form of one that also holds characters beyond the first plane is slow.
 _ODD = re.compile("[" + "".join(re.escape(chr(c)) for c in PLAIN if c < 0x10000) + "]")
-_ODD_HIGH = re.compile("[\U0001d400-\U0001d7ff]")
+_ODD_HIGH = re.compile("[\U00010000-\U0010ffff]")
 
 
 def _luhn(digits: str) -> bool:
@@ -122,8 +131,8 @@ def rewrite(text: str) -> tuple[str, list[int], list[int], list[bool]] | None:
     disguised. None if there is nothing to rewrite."""
     plain = text.translate(PLAIN) if not text.isascii() and (_ODD.search(text) or _ODD_HIGH.search(text)) else text
     lower = plain.lower()
-    spelled = sum(map(lower.count, SPELLED)) >= 4 and _RUN.search(lower)
-    if plain is text and not spelled and not ("dot" in lower and _HINT.search(plain)) and not ("at" in lower and _BRACKET.search(plain)):
+    spelled = any(word in lower for word in SPELLED) and _SPELLED.search(lower)
+    if plain == text and not spelled and not _DOT.search(lower) and not _AT.search(lower):
         return None
     out: list[str] = []
     starts: list[int] = []
