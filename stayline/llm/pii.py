@@ -6,7 +6,8 @@ it came from; the same detectors run on what it wrote, and spans that stem from
 
 Offsets count code points, the end is exclusive. Null texts count as empty and have no spans. Rows are independent:
 repeated rows give repeated results, an empty table an empty one; every scan is linear in the text, so very long texts
-only take their share of time. Of spans that overlap, base spans stay and added ones give way.
+only take their share of time. Base spans always stay. An added span that overlaps some is added too if it holds each of
+them whole, as where a disguise stands for a part of an identifier only; else it gives way, also to added ones before it.
 """
 
 from __future__ import annotations
@@ -159,20 +160,22 @@ def rewrite(text: str) -> tuple[str, list[int], list[int], list[bool]] | None:
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
-    """Identifiers that show only without disguises, at their place in the source, clear of the base spans."""
+    """Identifiers that show only without disguises, at their place in the source; each is clear of the base spans or holds
+    those it meets whole and more."""
     written = rewrite(text)
     if written is None:
         return []
     shown, starts, ends, odd = written
-    taken = sorted((s, e) for s, e, _ in base)
+    free = 0  # end of the last added span
     out: list[Span] = []
     for start, end, kind in sorted(base_spans(shown), key=lambda s: (s[0], KINDS.index(s[2]))):
         if not any(odd[start:end]):
             continue
         span = starts[start], ends[end - 1]
-        if all(e <= span[0] or s >= span[1] for s, e in taken):
+        met = [(s, e) for s, e, _ in base if s < span[1] and e > span[0]]
+        if span[0] >= free and all(span[0] <= s and e <= span[1] and (s, e) != span for s, e in met):
             out.append((*span, kind))
-            taken.append(span)
+            free = span[1]
     return out
 
 

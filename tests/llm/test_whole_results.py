@@ -29,3 +29,17 @@ def test_gate_passes_every_text_with_a_disguised_span(monkeypatch):
 
     monkeypatch.setattr(pii, "_DOT", Always())
     assert [pii.find(t) for t in texts] == gated and sum(any(s[3] for s in own) for own in gated) > 100
+
+
+def test_added_spans_hold_base_spans_whole():
+    shown = {
+        "аdmin@example.com": [(0, 17, "email", True), (1, 17, "email", False)],
+        "mail mariа.gonzalez@example.com now": [(5, 31, "email", True), (10, 31, "email", False)],
+        "+49 301 234 567 ８９": [(0, 15, "phone", False), (0, 18, "phone", True)],
+        "jane at 10.0.0.1 or jаne@10.0.0.1": [(8, 16, "ip", False), (20, 33, "email", True), (22, 33, "email", False), (25, 33, "ip", False)],
+        "two-one@example.com": [(0, 19, "email", False)],
+    }
+    for text, spans in shown.items():
+        assert pii.find(text) == spans, text
+    assert pii.masked("x аdmin@example.com, mariа.gonzalez@example.com; +49 301 234 567 ８９.") == "x <email>, <email>; <phone>."
+    assert pii.masked("jаne@10.0.0.1 x") == "<email> x"
