@@ -1,23 +1,38 @@
 """Mixes sources to target weights by Pfair scheduling.
 
-The rows of a source stand in blocks of ``block_rows``, in an order by hash of their id. Weights are made multiples of one
-over a period of slots, one block to a slot: block i of a source with share w is released at floor((i - 1) / w) and due at
-ceil(i / w). Earliest deadline first over the released blocks fills each slot of a period, so at every slot each source is
-within one block of its weight. One period is computed, as a single SQL expression over its slots; every block finds its
-slot by its number within the period. When a source is used up its slots stay empty and the others go on in their order.
+The rows of a source stand in blocks of ``block_rows``, in an order by hash of their id, one block to a slot: block i of a
+source with share w is released at floor(i / w) and due at ceil((i + 1) / w). Earliest deadline first over the released
+blocks fills the slots, so at every slot each source that still has blocks is within one block of its weight, however long
+the table. The driver deals the slots, one step to a block, from the row counts of the sources; every block finds its slot
+by its number. When a source is used up, slots for which no other block is released yet stay empty.
 
 Null sources are a source of their own; rows with a null id come at the hash of null. A source without a given weight, or
-with one that is null or not positive, gets the least share, one block to a period, so that no row is lost. Rows that
-repeat an id are rows of their own and stand next to each other, in any order. An empty table gives an empty result.
+with one that is null, infinite or not positive, gets a small share, so that no row is lost; shares under 1e-12 count as
+1e-12. Rows that repeat an id are rows of their own and stand next to each other, in any order. An empty table gives an
+empty result.
 Columns of the input may have any names: they travel inside one struct.
 """
 
 from __future__ import annotations
 
 import math
-
-from pyspark.sql import DataFrame, Window
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heappop, heappush
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Blocks of a source whose times travel in one row.
+CHUNK = 1_024
+#: Schedules up to this many blocks, 24 bytes each, are broadcast.
+BROADCAST_BLOCKS = 1_000_000
+LEAST_SHARE = 1e-12
 
 
 def natural_weights(docs: DataFrame, power: float = 0.7) -> DataFrame:
@@ -26,46 +41,82 @@ def natural_weights(docs: DataFrame, power: float = 0.7) -> DataFrame:
 
 
 def quotas(docs: DataFrame, weights: DataFrame, resolution: int) -> DataFrame:
-    """source, place (from 0) and quota, its blocks in a period; one row for each source of ``docs``."""
-    usable = weights.where("weight > 0").groupBy(F.col("source").alias("_of")).agg(F.sum("weight").alias("_weight"))
-    named = docs.select("source").distinct().join(usable, F.col("source").eqNullSafe(F.col("_of")), "left")
+    """source, place (from 0), quota, its weight in the mixture, and n, its rows; one row for each source of ``docs``. The
+    weights count in proportion."""
+    good = F.col("weight").cast("double")
+    usable = weights.where((good > 0) & (good < F.lit(math.inf))).groupBy(F.col("source").alias("_of")).agg(F.sum(good).alias("_weight"))
+    counts = docs.groupBy("source").agg(F.count("*").alias("n"))
+    named = counts.join(usable, F.col("source").eqNullSafe(F.col("_of")), "left")
     everything = Window.orderBy(F.col("source").asc_nulls_first())  # a row per source
-    total = F.sum("_weight").over(Window.partitionBy(F.lit(0)))
-    share = F.coalesce(F.col("_weight") / total, F.lit(0.0))
-    return named.select("source", (F.row_number().over(everything) - 1).alias("place"), F.greatest(F.lit(1), F.round(share * resolution)).cast("int").alias("quota"))
-
-
-def period(quota_rows: DataFrame) -> DataFrame:
-    """place, turn (from 0) and slot of each block of one period, by earliest deadline first."""
-    gathered = quota_rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "quota"))), lambda x: x["quota"]).alias("quotas"))
-    slots = F.expr("aggregate(quotas, 0L, (s, q) -> s + q)")
-    gathered = gathered.select("quotas", slots.alias("slots")).where("slots > 0")
-    # State: blocks given so far by place, and the place picked at each slot. A block is released at floor(given * slots /
-    # quota) and due at ceil((given + 1) * slots / quota); ties in deadline go to the first place.
-    picked = F.expr("""
-        aggregate(
-          sequence(0L, slots - 1),
-          struct(transform(quotas, q -> 0L) as given, cast(array() as array<int>) as picks),
-          (state, slot) -> transform(
-            array(array_min(filter(
-              transform(quotas, (q, i) -> struct(
-                (state.given[i] + 1) * slots div q + if((state.given[i] + 1) * slots % q > 0, 1, 0) as due,
-                i as place,
-                state.given[i] < q and state.given[i] * slots div q <= slot as free)),
-              b -> b.free)).place),
-            p -> struct(transform(state.given, (n, i) -> n + if(i = p, 1L, 0L)) as given, concat(state.picks, array(p)) as picks))[0],
-          state -> state.picks)
-    """)
-    rows = gathered.select(F.posexplode(picked).alias("slot", "place"))
-    turn = F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1
-    return rows.where("place is not null").select("place", turn.alias("turn"), "slot")
+    total = F.coalesce(F.sum("_weight").over(Window.partitionBy(F.lit(0))), F.lit(1.0))
+    quota = F.greatest(F.coalesce(F.col("_weight"), total / resolution), total * LEAST_SHARE)
+    return named.select("source", (F.row_number().over(everything) - 1).alias("place"), quota.alias("quota"), "n")
+
+
+def deal(quotas: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """place, release, due and slot of each block, by slot. A source's blocks come in their order.
+
+    Whole numbers throughout: a weight stands for its shortest decimal form, so nothing is rounded however many blocks there
+    are. Each step gives the slot to the released block that is due first; if there is none, slots pass empty.
+    """
+    exact = [Fraction(repr(q)) for q in quotas]
+    scale = math.lcm(*(q.denominator for q in exact))
+    share = [int(q * scale) for q in exact]
+    total = sum(share)
+    given = [0] * len(share)
+    waiting = [(0, place) for place, n in enumerate(blocks) if n]
+    ready: list[tuple[int, int, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, place = heappop(waiting)
+            heappush(ready, (-(-(given[place] + 1) * total // share[place]), place, release))
+        due, place, release = heappop(ready)
+        yield place, release, due, slot
+        given[place] += 1
+        if given[place] < blocks[place]:
+            heappush(waiting, (given[place] * total // share[place], place))
+        slot += 1
+
+
+def schedule(spark: SparkSession, quota_rows: list[Row], block_rows: int) -> DataFrame:
+    """place, chunk and times, the release, due and slot of up to ``CHUNK`` blocks of a source, which have the numbers from
+    chunk * CHUNK."""
+    places: list[int] = []
+    chunks: list[int] = []
+    times: list[array] = []
+    open_, done = {}, [0] * len(quota_rows)
+    for place, *own in deal([r.quota for r in quota_rows], [-(-r.n // block_rows) for r in quota_rows]):
+        if done[place] % CHUNK == 0:
+            open_[place] = array("q")
+            places.append(place)
+            chunks.append(done[place] // CHUNK)
+            times.append(open_[place])
+        open_[place].extend(own)
+        done[place] += 1
+    ends = list(accumulate(map(len, times), initial=0))
+    joined = array("q")
+    for own in times:
+        joined.extend(own)
+    lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(joined, np.int64) if joined else [], pa.int64()))
+    return spark.createDataFrame(pa.table({"place": pa.array(places, pa.int32()), "chunk": pa.array(chunks, pa.int64()), "times": lists}), "place int, chunk long, times array<long>")
 
 
 def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 64, resolution: int = 1_000, bucket_rows: int = 4_096) -> DataFrame:
     """row (a struct of the columns of ``docs``), source, block (from 0), release, due, slot and place_in_block. The order
-    of the mixture is by slot and place_in_block."""
-    spread = quotas(docs, natural_weights(docs) if weights is None else weights, resolution)
-    bits = max(0, math.ceil(math.log2(max(1, docs.count() / bucket_rows))))
+    of the mixture is by slot and place_in_block. A source without a usable weight gets one over ``resolution`` of the sum
+    of the others."""
+    spark = docs.sparkSession
+    spread = quotas(docs, natural_weights(docs) if weights is None else weights, resolution).orderBy("place").collect()  # a row per source
+    rows = sum(r.n for r in spread)
+    turns = schedule(spark, spread, block_rows)
+    if rows // block_rows + len(spread) <= BROADCAST_BLOCKS:
+        turns = F.broadcast(turns)
+    shape = T.StructType([docs.schema["source"], T.StructField("place", T.IntegerType())])
+    places = F.broadcast(spark.createDataFrame(pa.table({"source": pa.array([r.source for r in spread], pa.string()), "place": pa.array([r.place for r in spread], pa.int32())}), shape))
+    bits = max(0, math.ceil(math.log2(max(1, rows / bucket_rows))))
 
     # The place of a row in its source: rows before its bucket of hashes, plus its place in the bucket. No source is sorted
     # as a whole.
@@ -79,16 +130,12 @@ def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_rows: int
     at = F.col("_before") + F.col("_place")
     placed = placed.select("row", "_source", F.expr(f"(_before + _place) div {block_rows}").alias("block"), (at % block_rows).cast("int").alias("place_in_block"))
 
-    # Slots of one period, with the quotas: resolution + sources rows at most, so both may be broadcast.
-    turns = period(spread).join(spread, "place")
-    turns = F.broadcast(turns.select(F.col("source").alias("_s"), "turn", "slot", "quota", F.sum(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("slots")))
-    quota_of = F.broadcast(spread.select(F.col("source").alias("_q"), F.col("quota").alias("_quota")))
-    dealt = placed.join(quota_of, F.col("_source").eqNullSafe(F.col("_q"))).withColumn("_turn", (F.col("block") % F.col("_quota")).cast("int"))
-    dealt = dealt.join(turns, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_turn") == F.col("turn")))
+    dealt = placed.join(places.select(F.col("source").alias("_q"), F.col("place").alias("_of")), F.col("_source").eqNullSafe(F.col("_q")))
+    dealt = dealt.withColumn("_chunk", F.expr(f"block div {CHUNK}")).join(turns, (F.col("_of") == F.col("place")) & (F.col("_chunk") == F.col("chunk")))
+    first = (F.col("block") % CHUNK * 3).cast("int")
     return dealt.select(
-        "row", F.col("_source").alias("source"), "block", F.expr("block * slots div quota").alias("release"),
-        F.expr("(block + 1) * slots div quota + if((block + 1) * slots % quota > 0, 1, 0)").alias("due"),
-        (F.expr("block div quota") * F.col("slots") + F.col("slot")).alias("slot"), "place_in_block",
+        "row", F.col("_source").alias("source"), "block", F.get("times", first).alias("release"), F.get("times", first + 1).alias("due"),
+        F.get("times", first + 2).alias("slot"), "place_in_block",
     )
 
 

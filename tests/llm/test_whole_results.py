@@ -1,8 +1,12 @@
 """Results that earlier versions cut short."""
 
+import math
 import random
+from fractions import Fraction
 
-from stayline.llm import pii
+from pyspark.sql import functions as F
+
+from stayline.llm import mixing, pii
 
 
 def test_disguises_are_found_whatever_else_the_text_holds():
@@ -43,3 +47,40 @@ def test_added_spans_hold_base_spans_whole():
         assert pii.find(text) == spans, text
     assert pii.masked("x аdmin@example.com, mariа.gonzalez@example.com; +49 301 234 567 ８９.") == "x <email>, <email>; <phone>."
     assert pii.masked("jаne@10.0.0.1 x") == "<email> x"
+
+
+def test_mixture_keeps_within_one_block_of_given_weights_on_many_blocks():
+    cases = [[1 / 3, 0.6663, 0.0003667], [0.12345678, 0.5, 0.0004321, 0.3761109], [5_000.0 / 2] + [1.0] * 5_000]
+    for weights in cases:
+        exact = [Fraction(repr(w)) for w in weights]
+        share = [w / sum(exact) for w in exact]
+        blocks = [int(w * 30_000) + 1 for w in share]
+        given = [0] * len(weights)
+        seen = -1
+        for place, release, due, slot in mixing.deal(weights, blocks):
+            assert release <= slot < due and slot > seen
+            # Released when less than the share was given, due before more is owed: within one block at every slot.
+            assert release == math.floor(given[place] / share[place]) and due == math.ceil((given[place] + 1) / share[place])
+            given[place] += 1
+            seen = slot
+        assert given == blocks
+        assert seen <= max(math.ceil(b / w) for b, w in zip(blocks, share))
+
+
+def test_mixture_of_a_table_follows_the_given_weights(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 45_000, "a").when(F.col("id") < 59_990, "b").alias("source"))
+    weights = spark.createDataFrame([("a", 0.7504), ("b", 0.2494), (None, 0.0002)], "source string, weight double")
+    rows = mixing.scheduled(docs, weights, block_rows=1).select("source", "slot").collect()
+    assert len(rows) == 60_000 == len({r.slot for r in rows})
+    order = {r.slot: r.source for r in rows}
+    share, given = {"a": 0.7504, "b": 0.2494, None: 0.0002}, {"a": 0, "b": 0, None: 0}
+    for slot in range(45_000):  # until b is nearly used up
+        given[order[slot]] += 1
+        assert all(abs(given[s] - (slot + 1) * w) < 1 + 1e-9 for s, w in share.items())
+
+
+def test_mixture_with_odd_weights_loses_no_row(spark):
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 5).alias("source"))
+    weights = spark.createDataFrame([("s0", float("inf")), ("s1", float("nan")), ("s2", 1e-300), ("s3", 2.0), ("s4", -1.0)], "source string, weight double")
+    for given in (weights, weights.limit(0)):
+        assert sorted(r.row.doc_id for r in mixing.scheduled(docs, given, block_rows=4).collect()) == list(range(500))
