@@ -6,7 +6,7 @@ documents. ``run`` writes what a stage returns to the session's shared folder an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm import bpe, jaccard, mixing, pii, quality
@@ -38,16 +38,24 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the documents in the order of the mixture of their sources; none is dropped."""
+    """Puts the documents in the order of the mixture of their sources; none is dropped. The order is that of the rows in
+    the written files, the files taken by name."""
     return mixing.mixed(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and whether they decode to it."""
+    """Ids of every text, whether they decode to it, and its place in the mixture, from 0; ``docs`` is what ``mixture``
+    returned, read from its files. A scan takes files in any order, so the place is told from file and row."""
     bpe.bound_batches(spark)
-    coded = docs.select("doc_id", "lang", "source", "text", bpe.round_trip(F.col("text"), tokenizer_path()).alias("coded"))
+    file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    # A row per file, so it may be broadcast and numbered in one task.
+    before = F.sum("_rows").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = docs.groupBy(file.alias("_file")).agg(F.count("*").alias("_rows")).select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    docs = docs.select("doc_id", "lang", "source", "text", file.alias("_of"), row.alias("_row")).join(F.broadcast(files), F.col("_of") == F.col("_file"))
+    place = F.col("_before") + F.col("_row")
+    coded = docs.select("doc_id", "lang", "source", place.alias("place"), "text", bpe.round_trip(F.col("text"), tokenizer_path()).alias("coded"))
     same = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", same.alias("decodes"))
+    return coded.select("doc_id", "lang", "source", "place", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", same.alias("decodes"))
 
 
 STAGES = [

@@ -6,6 +6,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stayline.llm import mixing, pii
 
 
@@ -84,3 +85,17 @@ def test_mixture_with_odd_weights_loses_no_row(spark):
     weights = spark.createDataFrame([("s0", float("inf")), ("s1", float("nan")), ("s2", 1e-300), ("s3", 2.0), ("s4", -1.0)], "source string, weight double")
     for given in (weights, weights.limit(0)):
         assert sorted(r.row.doc_id for r in mixing.scheduled(docs, given, block_rows=4).collect()) == list(range(500))
+
+
+def test_pipeline_result_carries_the_place_in_the_mixture(spark, documents, tmp_path):
+    docs = documents([(i, "word " * (1 + (7 * i) % 900)) for i in range(700)])
+    docs = docs.withColumn("source", F.when(F.col("doc_id") < 500, "big").otherwise("small"))
+    corpus_pipeline.mixture(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/mixed")
+    table = spark.read.parquet(f"{tmp_path}/mixed")
+    assert len(table.inputFiles()) > 1
+    out = corpus_pipeline.token_ids(spark, table, str(tmp_path))
+    out.write.parquet(f"{tmp_path}/ids")
+    rows = spark.read.parquet(f"{tmp_path}/ids").select("doc_id", "place").orderBy("place").collect()
+    assert [r.place for r in rows] == list(range(700))
+    want = mixing.scheduled(docs).select("row.doc_id").orderBy("slot", "place_in_block").collect()
+    assert [r.doc_id for r in rows] == [r.doc_id for r in want]
