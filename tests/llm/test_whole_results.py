@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayline.llm import mixing, pii
+from stayline.llm import licences, mixing, pii
 
 
 def test_disguises_are_found_whatever_else_the_text_holds():
@@ -99,3 +99,23 @@ def test_pipeline_result_carries_the_place_in_the_mixture(spark, documents, tmp_
     assert [r.place for r in rows] == list(range(700))
     want = mixing.scheduled(docs).select("row.doc_id").orderBy("slot", "place_in_block").collect()
     assert [r.doc_id for r in rows] == [r.doc_id for r in want]
+
+
+def every_paragraph(docs, model):
+    rows = licences.paragraphs(docs).withColumn("grams", licences.grams(licences.words(F.col("paragraph"))))
+    return {(r.doc_id, r.line) for r in licences.with_chances(rows, model).where(F.element_at("chances", 1) < 0.5).collect()}
+
+
+def test_licence_scan_equals_scoring_every_paragraph(documents):
+    rng = random.Random(2)
+    words = ["the", "of", "licensed", "under", "License", "river", "MIT", "licenſed", "released", "work", "foo", "gnu"]
+    docs = documents([(i, "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(4))) for i in range(80)] + [(100, "Licensed under the Foo License")])
+    families = [licences.PROSE, *sorted(licences.TEMPLATES)]
+    weights = {f: {} for f in families} | {licences.PROSE: {"licensed": -2.5, "licensed under": -2.5, "the": 1.0}, "mit": {"mit": 3.0, "the": 0.5}, "gpl": {"gnu": -1.0}}
+    model = licences.Model(weights, {f: 4.0 if f == licences.PROSE else 0.0 for f in families}, 0.9)
+    assert model.prose_by_default() and model.markers == ("licensed", "licensed under", "mit")
+    found = {(r.doc_id, r.line): r.family for r in licences.scan(docs, model).collect()}
+    assert set(found) == every_paragraph(docs, model) and found[100, 0] == licences.UNKNOWN
+    assert 10 < len(found) < 320
+    fitted = licences.fit(docs)
+    assert {(r.doc_id, r.line) for r in licences.scan(docs, fitted).collect()} == every_paragraph(docs, fitted)
