@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators: each applies its operator to a whole table of a folder."""
+"""The registered queries of the operators: each applies its operator to a whole table of a folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, licences, mixing, pii, quality, repeats, topk, warc
+from stayline.llm import bpe, fingerprints, importance, interactions, jaccard, langid, licences, mixing, pii, quality, repeats, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,5 +95,72 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op7_licences, op8_pii, op9_jaccard, op10_warc)}
-ORACLES: dict[str, str] = {}
+def op11_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in every order: what each step removes, and each filter's Shapley value."""
+    return interactions.audit(interactions.profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by their likeness to the benchmark texts, with exact ranks."""
+    return importance.draw(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited form, and their likeness."""
+    told = fingerprints.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return told.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
+
+
+#: SQL that states op11 from the texts: every order step by step, and the Shapley value as the sum of what it removes.
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS found
+  FROM documents
+), marks AS (
+  SELECT doc_id AS id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS bad
+  FROM labels GROUP BY doc_id
+), firsts AS (
+  SELECT sha256(body) AS digest, min(doc_id) AS first_id FROM words GROUP BY 1
+), failed AS (
+  SELECT w.part, coalesce(m.good, false) AS good, coalesce(m.bad, false) AS bad, MAP {
+    'A': len(found) < 200,
+    'B': 100 * len(list_distinct(found)) < 50 * len(found),
+    'C': 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body),
+    'D': regexp_matches(body, '[#$%&*|]'),
+    'E': coalesce(w.doc_id > f.first_id, false)} AS fails
+  FROM words w JOIN firsts f ON f.digest = sha256(w.body) LEFT JOIN marks m ON m.id = w.doc_id
+), kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad FROM failed GROUP BY 1, 2
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, string_split(filter_order[1:step - 1], '') AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), told AS (
+  SELECT part, filter_order, step, own, n, n_good, n_bad, fails[own] AS hit,
+         len([x for x in earlier if x <> '' AND fails[x]]) > 0 AS gone,
+         len([x for x in ['A', 'B', 'C', 'D', 'E'] if fails[x]]) AS n_fails
+  FROM kinds, steps
+), summed AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND hit), 0) AS redundant, coalesce(sum(n) FILTER (hit AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(n_good) FILTER (NOT gone AND hit), 0) AS good_lost, coalesce(sum(n_bad) FILTER (NOT gone AND hit), 0) AS toxic_lost
+  FROM told GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op7_licences, op8_pii, op9_jaccard, op10_warc,
+    op11_interactions, op12_importance, op13_fingerprints,
+)}
+ORACLES: dict[str, str] = {"op11_interactions": OP11_SQL}
