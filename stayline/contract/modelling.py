@@ -6,7 +6,10 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from stayline import params as P
 from stayline.contract.query import Query
+from stayline.functions.keys import hash_bucket
+from stayline.functions.numeric import as_flag
 from stayline.operators import features, labels, lifecycle, metrics, models
 from stayline.operators import returns as R
 from stayline.plans import returns as return_plan
@@ -14,7 +17,7 @@ from stayline.plans import scoring as score_plan
 from stayline.plans import staffing as staff_plan
 from stayline.plans import training
 from stayline.session import cut_lineage
-from stayline.sources.inputs import AS_OF, PROMO_PREFIX, RAW_GROUPS, Inputs
+from stayline.sources.inputs import AS_OF, PROMO_PREFIX, RAW_GROUPS, SPECIES, Inputs
 
 _BY_RUN = {"metrics": "fx_metrics", "latest_metrics": "fx_latest_metrics", "params": "fx_params", "tags": "fx_tags"}
 _GONE = "(select experiment_id from fx_experiments where lifecycle_stage = 'deleted')"
@@ -87,6 +90,20 @@ def _importance(t: Inputs):
     return models.importance_table(t.spark, models.fit_bands(rows.where("is_train")))
 
 
+def _split_counts(t: Inputs):
+    """Splits by band and feature beside the gain, and how many inner nodes the band's trees have."""
+    model = models.fit_bands(_training_rows(t).where("is_train"))
+    gain = models.importance_table(t.spark, model)
+    both = models.split_counts(t.spark, model).join(gain, ["band", "feature"])
+    return both.join(models.inner_nodes(t.spark, model), "band")
+
+
+def _split_checks(t: Inputs):
+    """By band: splits less inner nodes, and what is missing to a gain of 1 in all."""
+    sums = _split_counts(t).groupBy("band", "inner_nodes").agg(F.sum("splits").alias("splits"), F.sum("gain").alias("gain"))
+    return sums.select("band", (F.col("splits") - F.col("inner_nodes")).alias("unaccounted"), F.when(F.col("inner_nodes") > 0, 1 - F.col("gain")).otherwise(F.col("gain")).alias("gain_gap"))
+
+
 def _score_new(t: Inputs):
     """Visit-1 predictions of unscored patients by a model trained on the labelled ones."""
     trained = training.train(_training_rows(t), 1)
@@ -107,31 +124,67 @@ def _binary_train(t: Inputs):
 _FIRST = tuple(R.group_columns(RAW_GROUPS).values())
 
 
+#: Line counts by species stand beside those by product group; each line has one of either.
+_SPECIES = R.group_columns(SPECIES)
+_TERMS = (*_SPECIES.values(), *_FIRST)
+
+
 def _first_visits(t: Inputs):
-    """Product counts of each animal's first day, with the return flag."""
+    """Line counts of each animal's first day by species and product group, with the return flag."""
     lines = R.shorten_names(return_plan.profile(t, AS_OF)).where("rank_ = 1")
-    sums = R.one_hot_sums(lines, ["animal_id", "visit_more_than_once", "rank_"], RAW_GROUPS)
+    keys = ["animal_id", "visit_more_than_once", "rank_"]
+    both = {**{n: ("species", g) for g, n in _SPECIES.items()}, **{n: ("product_group", g) for g, n in R.group_columns(RAW_GROUPS).items()}}
+    sums = lines.groupBy(*keys).agg(*[F.sum(as_flag(F.col(c) == g)).alias(n) for n, (c, g) in both.items()])
     return cut_lineage(labels.with_split(sums, "animal_id"))
 
 
 def _glm(t: Inputs):
     rows = _first_visits(t)
-    model = models.fit_binomial(rows.where("is_train"), _FIRST, "visit_more_than_once")
-    scored = models.predict_binomial(model, rows.where("not is_train"), _FIRST)
+    model = models.fit_binomial(rows.where("is_train"), _TERMS, "visit_more_than_once")
+    scored = models.predict_binomial(model, rows.where("not is_train"))
     return metrics.confusion(models.at_optimal_cutoff(scored, "visit_more_than_once"))
 
 
 def _glm_summary(t: Inputs):
     rows = _first_visits(t)
-    model = models.fit_binomial(rows.where("is_train"), _FIRST, "visit_more_than_once")
-    return models.binomial_summary(t.spark, model, _FIRST)
+    return models.binomial_summary(t.spark, models.fit_binomial(rows.where("is_train"), _TERMS, "visit_more_than_once"))
+
+
+def _glm_score(t: Inputs):
+    """The score equations of the fit: for every term, what the rows add up to and what the model expects."""
+    train = _first_visits(t).where("is_train")
+    return models.binomial_score(models.fit_binomial(train, _TERMS, "visit_more_than_once"), train, "visit_more_than_once")
+
+
+def _network(t: Inputs):
+    """The net on four fifths of the training rows, stopped by the others, and the three parts."""
+    rows = _first_visits(t).withColumn("held", hash_bucket("animal_id", P.SPLIT_SEED + 1) < P.TRAIN_PERCENT)
+    fit, stop, rest = rows.where("is_train and held"), rows.where("is_train and not held"), rows.where("not is_train")
+    return models.fit_network(fit, stop, _TERMS, "visit_more_than_once"), fit, stop, rest
 
 
 def _mlp(t: Inputs):
-    rows = _first_visits(t)
-    model = models.fit_network(rows.where("is_train"), _FIRST, "visit_more_than_once")
-    scored = models.predict_network(model, rows.where("not is_train"), _FIRST)
-    return metrics.confusion(models.at_optimal_cutoff(scored, "visit_more_than_once"))
+    net, _, _, rest = _network(t)
+    return metrics.confusion(models.at_optimal_cutoff(models.predict_network(net.fitted, rest, _TERMS), "visit_more_than_once"))
+
+
+def _mlp_rounds(t: Inputs):
+    """Validation loss by round, and which counts."""
+    net, _, stop, _ = _network(t)
+    rows = [(i, loss, int(i == net.best_round)) for i, loss in enumerate(net.losses, 1)]
+    return t.spark.createDataFrame(rows, "round int, loss double, best int")
+
+
+def _mlp_checks(t: Inputs):
+    """What holds for every such fit: rows used, the best round has the least loss, its network gives that loss again, and
+    no further round than patience allows was run."""
+    net, fit, stop, _ = _network(t)
+    again = models.log_loss(models.predict_network(net.fitted, stop, _TERMS), "visit_more_than_once")
+    best = net.best_round
+    return t.spark.createDataFrame(
+        [(fit.count(), stop.count(), int(net.losses[best - 1] == min(net.losses)), int(abs(again - min(net.losses)) < 1e-9), int(len(net.losses) in (best + 3, 25)))],
+        "fit_rows long, stop_rows long, best_is_least int, best_weights_kept int, stopped_by_patience int",
+    )
 
 
 def _linreg(t: Inputs):
@@ -147,6 +200,19 @@ from (select *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) as b1, (s11 *
   from (select avg(block_minutes) as m1, avg(free_time) as m2, avg(rev_per_hour) as my, covar_pop(block_minutes, block_minutes) as s11, covar_pop(free_time, free_time) as s22,
     covar_pop(block_minutes, free_time) as s12, covar_pop(block_minutes, rev_per_hour) as s1y, covar_pop(free_time, rev_per_hour) as s2y from v_study))"""
 
+_FIRST_SQL = f"""
+select *, cast('0x' || substr(md5(animal_id || '|42'), 1, 8) as bigint) % 100 < 80 as is_train from (
+  select animal_id, visit_more_than_once, {", ".join(f"count(*) filter (where species = '{g}') as {c}" for g, c in _SPECIES.items())},
+    {", ".join(f"count(*) filter (where product_group = '{g}') as {c}" for g, c in R.group_columns(RAW_GROUPS).items())}
+  from v_short where rank_ = 1 group by 1, 2)"""
+# Where the likelihood is largest, the model expects what was seen.
+_GLM_SCORE = " union all ".join(
+    f"select '{c}' as term, sum({c} * visit_more_than_once) as observed, sum({c} * visit_more_than_once) as expected from ({_FIRST_SQL}) where is_train" for c in _TERMS
+)
+
+_BAND_CASE = "case " + " ".join(f"when total_future_spend <= {edge} then {k}" for k, edge in enumerate(P.BAND_EDGES[1:])) + " end"
+_IS_TRAIN = "cast('0x' || substr(md5(uid || '|42'), 1, 8) as bigint) % 100 < 80"
+
 QUERIES: dict[str, Query] = {
     "confusion": Query(lambda t: metrics.confusion(t.predictions), "label:i prediction:i n:i share:r9", f"select *, n / sum(n) over () as share from ({_CELLS})"),
     "weighted_metrics": Query(lambda t: metrics.metric_table(t.predictions), "metric:s value:r9", _METRICS),
@@ -174,9 +240,24 @@ QUERIES: dict[str, Query] = {
     "train_binary": Query(_binary_train, "metric:s value:d"),
     "forest_score": Query(_forest, "metric:s value:d"),
     "importance": Query(_importance, "band:i feature:s gain:d"),
+    "split_counts": Query(_split_counts, "band:i feature:s splits:i gain:d inner_nodes:i"),
+    "split_checks": Query(
+        _split_checks,
+        "band:i unaccounted:i gain_gap:r9",
+        f"""select unnest(range(0, cast(max(total_future_spend_bin) + 1 as bigint))) as band, 0 as unaccounted, 0.0 as gain_gap
+          from (select {_BAND_CASE} as total_future_spend_bin from v_features where visit_number = 1 and {_IS_TRAIN})""",
+    ),
     "score_new": Query(_score_new, "uid:s final_category:i final_category_prob:d predict_for_visit_number:i total_num_visit:i total_future_spend:d date_of_upload:s"),
     "glm_fit": Query(_glm, "label:i prediction:i n:i share:d"),
+    "glm_score": Query(_glm_score, "term:s observed:d expected:r4", _GLM_SCORE),
     "glm_summary": Query(_glm_summary, "term:s estimate:d std_error:d z:d p:d"),
     "mlp_fit": Query(_mlp, "label:i prediction:i n:i share:d"),
+    "mlp_rounds": Query(_mlp_rounds, "round:i loss:d best:i"),
+    "mlp_checks": Query(
+        _mlp_checks,
+        "fit_rows:i stop_rows:i best_is_least:i best_weights_kept:i stopped_by_patience:i",
+        f"""select count(*) filter (where held) as fit_rows, count(*) filter (where not held) as stop_rows, 1 as best_is_least, 1 as best_weights_kept, 1 as stopped_by_patience
+          from (select cast('0x' || substr(md5(animal_id || '|43'), 1, 8) as bigint) % 100 < 80 as held from ({_FIRST_SQL}) where is_train)""",
+    ),
     "linreg_fit": Query(_linreg, "term:s estimate:r4", _LINREG),
 }

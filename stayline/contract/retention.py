@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from stayline.contract.query import Query
@@ -17,6 +19,7 @@ from stayline.session import work_path
 from stayline.sources import sinks
 from stayline.sources.inputs import AS_OF, PROMO_PREFIX, SIZE_RULES, Inputs
 from stayline.sources.tables import SCORES_SCHEMA, to_target
+from stayline.sources.versioned import KeyedTable
 
 VISIT_SPEC = "uid:s day:s rank_group:s visit_number:i max_num_visit:i visit_more_than_once:i"
 SPENDS = "most_recent_visit_spend:d total_future_spend:d total_past_spend:d"
@@ -95,6 +98,29 @@ def _names(t: Inputs):
     return t.raw("part").select(F.col("p_name").alias("breed"))
 
 
+def _substrings(t: Inputs):
+    """Keywords of many lengths: pieces of part names, cut at a place and to a length that the part's key says."""
+    start, length = F.col("p_partkey") % 5 + 1, F.col("p_partkey") % 7
+    piece = F.substring(F.col("p_name"), start.cast("int"), length.cast("int"))
+    return t.raw("part").groupBy(piece.alias("keyword")).agg(F.count("*").alias("n_parts"))
+
+
+def _words(column: str, step: str, n: str):
+    """Names of many tokens: words that a key steps through, so that they share rare and common ones."""
+    word = lambda i: F.concat(F.lit("w"), ((F.col(column) * F.expr(step) + i * i) % (F.lit(4) + i * 3)).cast("string"))
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.expr(n).cast("int")), word), " ")
+
+
+def _long_names(t: Inputs):
+    return t.raw("supplier").select(_words("s_suppkey", "7", "3 + s_suppkey % 28").alias("breed"))
+
+
+def _long_labels(t: Inputs):
+    """A label of 9 to 30 words for each customer."""
+    key = F.col("c_custkey")
+    return t.raw("customer").select(_words("c_custkey", "5", "9 + c_custkey % 22").alias("unique_breed"), F.concat(F.lit("tier_"), (key % 4 + 1).cast("string")).alias("matching_breed"))
+
+
 def _known(t: Inputs):
     return t.labelled_names.select(F.col("unique_breed").alias("breed"))
 
@@ -146,14 +172,49 @@ def _split(t: Inputs):
 
 
 def _append_scores(t: Inputs):
-    """Append the unscored half, then whatever is still unscored: the second append adds nothing."""
+    """An append that stops before its log entry, its repetition, one more repetition of the same batch, and a run that looks
+    for what is still unscored: each patient and visit is there once."""
     path = work_path(t.spark, "scores")
+    table = sinks.scores_table(t.spark, path)
     rows = _target_rows(t)
+    table.stage(to_target(rows, SCORES_SCHEMA, key=sinks.SCORE_KEY))
+    sinks.append_scores(rows, path)
     sinks.append_scores(rows, path)
-    stored = sinks.read_back(t.spark, path)
     fresh = rows.withColumn("visit_number", F.col("predict_for_visit_number").cast("int"))
-    sinks.append_scores(scoring.not_yet_scored(fresh, stored), path)
-    return sinks.read_back(t.spark, path)
+    sinks.append_scores(scoring.not_yet_scored(fresh, table.read()), path)
+    return table.read()
+
+
+#: Day of the first of two refreshes; by then few patients have come back.
+EARLY = dt.date(1995, 3, 1)
+_STORED = {"id": "bigint", "uid": "string", "predict_for_visit_number": "smallint", "total_num_visit": "smallint", "total_future_spend": "decimal(6,0)"}
+
+
+def _stored(t: Inputs) -> KeyedTable:
+    table = KeyedTable(t.spark, work_path(t.spark, "stored"), _STORED, sinks.SCORE_KEY)
+    table.append(t.scored)
+    return table
+
+
+def _keyed_update(t: Inputs):
+    table = _stored(t)
+    refresh.refresh_table(t, AS_OF, table)
+    return table.read()
+
+
+def _refresh_twice(t: Inputs) -> KeyedTable:
+    """Two refreshes in a row, the first as of an early day."""
+    table = _stored(t)
+    refresh.refresh_table(t.until(EARLY), AS_OF, table)
+    refresh.refresh_table(t, AS_OF, table)
+    return table
+
+
+def _refresh_first(t: Inputs):
+    """What a reader saw between the two: the first refresh's update of the stored table."""
+    table = _stored(t)
+    refresh.refresh_table(t.until(EARLY), AS_OF, table)
+    return table.read()
 
 
 def _append_breeds(t: Inputs):
@@ -167,7 +228,7 @@ def _append_breeds(t: Inputs):
 
 def _overwrite(t: Inputs):
     path = work_path(t.spark, "target")
-    first = refresh.refreshed(t, AS_OF)
+    first = refresh.refreshed(t, AS_OF).select(*_STORED)
     sinks.recreate(t.scored, path)
     sinks.recreate(first, path)
     return sinks.read_back(t.spark, path)
@@ -208,6 +269,21 @@ near as (select breed, matching_breed, shared / cast(ns.k + ls.k - shared as dou
   from (select nt.breed, lt.unique_breed, lt.matching_breed, count(*) as shared from nt join lt using (token) group by 1, 2, 3) s join ns using (breed) join ls using (unique_breed))
 select n.breed, coalesce(e.matching_breed, near.matching_breed, 'oth') as tier, case when e.matching_breed is not null then 1.0 else coalesce(near.score, 0) end as tier_score
 from n left join fx_labelled e on lower(e.unique_breed) = lower(n.breed) left join near on near.breed = n.breed and near.place = 1"""
+_SUBSTRING_SQL = "select substr(p_name, p_partkey % 5 + 1, p_partkey % 7) as keyword, count(*) as n_parts from part where p_name is not null group by 1"
+
+
+def _words_sql(key: str, step: int, n: str) -> str:
+    return f"array_to_string([('w' || (({key} * {step} + i * i) % (4 + i * 3))) for i in range(1, {n} + 1)], ' ')"
+
+
+_LONG_TIER_SQL = f"""
+with l as (select unique_breed, min(matching_breed) as tier, list_distinct(string_split(unique_breed, ' ')) as lt
+  from (select {_words_sql('c_custkey', 5, '9 + c_custkey % 22')} as unique_breed, 'tier_' || (c_custkey % 4 + 1) as matching_breed from customer) group by 1),
+n as (select breed, list_distinct(string_split(breed, ' ')) as nt from (select distinct {_words_sql('s_suppkey', 7, '3 + s_suppkey % 28')} as breed from supplier)),
+scored as (select breed, unique_breed, tier, len(list_intersect(nt, lt)) as shared, len(nt) + len(lt) - len(list_intersect(nt, lt)) as every from n, l),
+near as (select * from scored where shared > 0 qualify row_number() over (partition by breed order by shared / cast(every as double) desc, unique_breed) = 1)
+select n.breed, coalesce(e.tier, near.tier, 'oth') as tier, case when e.tier is not null then 1.0 else coalesce(near.shared / cast(near.every as double), 0) end as tier_score
+from n left join l e on e.unique_breed = n.breed left join near on near.breed = n.breed"""
 _ENRICH_SQL = f"select breed, tier, tier_score, {_SIZE_SQL} as breed_size from ({_TIER_SQL}) where breed not in (select unique_breed from fx_labelled)"
 
 _REFRESH_SQL = """
@@ -219,6 +295,20 @@ _UPDATED_SQL = f"""
 select s.id, s.uid, s.predict_for_visit_number, coalesce(u.total_num_visit, s.total_num_visit) as total_num_visit,
   coalesce(cast(u.total_future_spend as decimal(6,0)), s.total_future_spend) as total_future_spend
 from fx_scored s left join ({_REFRESH_SQL}) u on s.id = u.id"""
+_EARLY_SQL = f"""
+select distinct f.id, f.uid, f.predict_for_visit_number, r.total_num_visit, r.total_future_spend from fx_scored f join (
+  select a.uid, max(v.visit_number) as total_num_visit, sum(a.revenue) as total_future_spend
+  from v_facts a join v_visits v on a.uid = v.uid and a.day = v.day where v.visit_number > 1 and a.day < date '{EARLY}' group by 1) r using (uid)"""
+_AFTER_EARLY_SQL = f"""
+select s.id, s.uid, s.predict_for_visit_number, coalesce(u.total_num_visit, s.total_num_visit) as total_num_visit,
+  coalesce(cast(u.total_future_spend as decimal(6,0)), s.total_future_spend) as total_future_spend
+from fx_scored s left join ({_EARLY_SQL}) u on s.id = u.id"""
+_IN_BUCKET = "cast('0x' || substr(md5(uid || '|' || predict_for_visit_number || '|7'), 1, 8) as bigint) % 64"
+_LOG_SQL = f"""
+with stored as (select *, {_IN_BUCKET} as bucket from fx_scored), sizes as (select bucket, count(*) as n_rows from stored group by 1)
+select 1 as version, bucket, false as replaces, n_rows from sizes
+union all select 2, bucket, true, n_rows from sizes where bucket in (select {_IN_BUCKET} from ({_EARLY_SQL}))
+union all select 3, bucket, true, n_rows from sizes where bucket in (select bucket from stored where id in (select id from ({_REFRESH_SQL})))"""
 _UPDATED_SPEC = "id:i uid:s predict_for_visit_number:i total_num_visit:i total_future_spend:d"
 
 _PROMO_SQL = """
@@ -304,10 +394,17 @@ QUERIES: dict[str, Query] = {
     "weight_fill": Query(lambda t: _fill(t, False), "visit_number:i uid:s breed:s ani_age:i weight:r8", _FILLED_ROWS),
     "weight_fill_literal": Query(lambda t: _fill(t, True), "visit_number:i uid:s breed:s ani_age:i weight:r8", _FILLED_LITERAL),
     "keyword_size": Query(
-        lambda t: breeds.with_size(t.raw("part").select("p_partkey", F.col("p_name").alias("breed")), SIZE_RULES),
+        lambda t: breeds.with_size(t.raw("part").select("p_partkey", F.col("p_name").alias("breed")), t.size_keywords),
         "p_partkey:i breed:s breed_size:s",
         f"select p_partkey, p_name as breed, {_SIZE_SQL} as breed_size from (select *, p_name as breed from part)",
     ),
+    "keyword_hits": Query(
+        lambda t: breeds.keyword_hits(t.raw("part").select(F.col("p_name").alias("name")), _substrings(t)),
+        "name:s keyword:s n_parts:i",
+        f"""select name, keyword, n_parts from (select distinct p_name as name from part where p_name is not null)
+          join ({_SUBSTRING_SQL}) on contains(name, keyword)""",
+    ),
+    "tier_lookup_long": Query(lambda t: breeds.tier_lookup(_long_names(t), _long_labels(t)), "breed:s tier:s tier_score:r6", _LONG_TIER_SQL),
     "new_categories": Query(
         lambda t: breeds.new_categories(_names(t), _known(t)), "breed:s", "select distinct p_name as breed from part where p_name not in (select unique_breed from fx_labelled)"
     ),
@@ -316,7 +413,10 @@ QUERIES: dict[str, Query] = {
         lambda t: breeds.enrich_new(_names(t), _known(t), t.labelled_names, SIZE_RULES), "breed:s tier:s tier_score:r6 breed_size:s", _ENRICH_SQL
     ),
     "returning_refresh": Query(lambda t: refresh.update_rows(t, AS_OF), "id:i total_num_visit:i total_future_spend:d", _REFRESH_SQL),
-    "keyed_update": Query(lambda t: refresh.refreshed(t, AS_OF), _UPDATED_SPEC, _UPDATED_SQL),
+    "keyed_update": Query(_keyed_update, _UPDATED_SPEC, _UPDATED_SQL),
+    "refresh_first": Query(_refresh_first, _UPDATED_SPEC, _AFTER_EARLY_SQL),
+    "refresh_twice": Query(lambda t: _refresh_twice(t).read(), _UPDATED_SPEC, _UPDATED_SQL),
+    "refresh_log": Query(lambda t: _refresh_twice(t).log(), "version:i bucket:i replaces:i n_rows:i", _LOG_SQL),
     "global_rank": Query(
         lambda t: V.global_visit_rank(_visits(t)),
         "uid:s day:s visit_number:i global_rank:i",

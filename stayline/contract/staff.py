@@ -14,6 +14,7 @@ from stayline.sources.inputs import NETWORK_CODES, Inputs
 from stayline.sources.tables import read_csv
 
 AFTER, BEFORE = "1996-01-01", "2000-12-31"
+BOXES = ("doctor_utilization", "rev_per_hour", "first_appt_ratio")
 GRID = [float(x) for x in range(0, 201, 10)]
 UTIL_SPEC = (
     "division_name:s appointment_date:s primary_resource_name:s free_time:d minutes_in_office:d block_minutes:d appointment_count:i"
@@ -42,7 +43,7 @@ def _percentiles(t: Inputs):
 
 
 def _weekday_box(t: Inputs):
-    return O.box_stats(_study(t), "rev_per_hour", ["network", "weekday"])
+    return O.box_stats(_study(t), BOXES, ["network", "weekday"])
 
 
 def _split_counts(t: Inputs):
@@ -69,13 +70,20 @@ def _csv(t: Inputs):
     return read_csv(t.spark, path, _EXTRACT_SCHEMA)
 
 
+# Student's density by t = sqrt(df) tan(x) is a power of the cosine; its tail from t on, by Simpson's rule in 20,000 steps.
+_P_SQL = """
+(select sum(case when i in (0, 20000) then 1 when i % 2 = 1 then 4 else 2 end * case when i = 20000 then 0 else exp((df - 1) * ln(cos(lo + i * (pi() / 2 - lo) / 20000))) end)
+    * (pi() / 2 - any_value(lo)) / 60000 * 2 / exp(lgamma(0.5) + lgamma(df / 2.0) - lgamma(df / 2.0 + 0.5))
+  from (select unnest(range(0, 20001)) as i, atan(abs(t) / sqrt(df)) as lo))"""
+
+
 def _ttest_sql(name: str, first: str) -> str:
     listed = "(" + " or ".join(f"contains(division_name, '{c}')" for c in NETWORK_CODES) + ")"
     a, b = first.format(listed=listed), f"{listed} and weekday = 5"
     return f"""
-select '{name}' as test, n_a, n_b, n_a + n_b - 2 as df, (m_a - m_b) / sqrt(((n_a - 1) * v_a + (n_b - 1) * v_b) / (n_a + n_b - 2) * (1.0 / n_a + 1.0 / n_b)) as t
+select *, {_P_SQL} as p from (select '{name}' as test, n_a, n_b, n_a + n_b - 2 as df, (m_a - m_b) / sqrt(((n_a - 1) * v_a + (n_b - 1) * v_b) / (n_a + n_b - 2) * (1.0 / n_a + 1.0 / n_b)) as t
 from (select count(*) filter (where {a}) as n_a, avg(rev_per_hour) filter (where {a}) as m_a, var_samp(rev_per_hour) filter (where {a}) as v_a,
-    count(*) filter (where {b}) as n_b, avg(rev_per_hour) filter (where {b}) as m_b, var_samp(rev_per_hour) filter (where {b}) as v_b from v_study)"""
+    count(*) filter (where {b}) as n_b, avg(rev_per_hour) filter (where {b}) as m_b, var_samp(rev_per_hour) filter (where {b}) as v_b from v_study))"""
 
 
 _TTESTS = " union all ".join(
@@ -85,13 +93,16 @@ _CORR = " union all ".join(
     f"select '{a}' as column_a, '{b}' as column_b, {'max(1.0)' if a == b else f'corr({a}, {b})'} as r from v_study" for a in _NUMBERS for b in _NUMBERS
 )
 _PCT = " union all ".join(f"select {p} as prob, quantile_cont(rev_per_hour, {p}) as value from v_util" for p in (0.25, 0.75, 0.9))
-_BOX = """
-select network, weekday, q1, median, q3, min(rev_per_hour) filter (where inside) as low_whisker, max(rev_per_hour) filter (where inside) as high_whisker,
+_BOX = " union all ".join(
+    f"""
+select '{x}' as measure, network, weekday, q1, median, q3, min({x}) filter (where inside) as low_whisker, max({x}) filter (where inside) as high_whisker,
   count(*) filter (where not inside) as outliers, count(*) as n
-from (select *, rev_per_hour between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) as inside
-  from (select network, weekday, rev_per_hour, quantile_cont(rev_per_hour, 0.25) over w as q1, quantile_cont(rev_per_hour, 0.5) over w as median,
-    quantile_cont(rev_per_hour, 0.75) over w as q3 from v_study window w as (partition by network, weekday)))
-group by 1, 2, 3, 4, 5"""
+from (select *, {x} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) as inside
+  from (select network, weekday, {x}, quantile_cont({x}, 0.25) over w as q1, quantile_cont({x}, 0.5) over w as median,
+    quantile_cont({x}, 0.75) over w as q3 from v_study where {x} is not null window w as (partition by network, weekday)))
+group by 2, 3, 4, 5, 6"""
+    for x in BOXES
+)
 
 
 def _density_sql(keys: str) -> str:
@@ -145,7 +156,7 @@ QUERIES: dict[str, Query] = {
         "select primary_resource_name, appointment_date, count(*) as n from v_ranged group by 1, 2",
     ),
     "percentiles": Query(_percentiles, "prob:d value:r4", _PCT),
-    "box_stats": Query(_weekday_box, "network:s weekday:i q1:r4 median:r4 q3:r4 low_whisker:r4 high_whisker:r4 outliers:i n:i", _BOX),
+    "box_stats": Query(_weekday_box, "measure:s network:s weekday:i q1:r4 median:r4 q3:r4 low_whisker:r4 high_whisker:r4 outliers:i n:i", _BOX),
     "corr_matrix": Query(lambda t: S.correlations(_study(t), _NUMBERS), "column_a:s column_b:s r:r6", _CORR),
     "density_grid": Query(lambda t: O.density(_study(t), "rev_per_hour", "weekday", GRID), "weekday:i at:d density:r9", _density_sql("weekday")),
     "density_division": Query(
@@ -158,6 +169,6 @@ QUERIES: dict[str, Query] = {
         "side:s division_name:s n:i",
         f"select case when contains(division_name, code) then 'A' else 'B' end as side, division_name, count(*) as n from v_study, (select unnest({_CODES}) as code) group by 1, 2",
     ),
-    "ttest_weekday": Query(_ttests, "test:s n_a:i n_b:i df:i t:r6", _TTESTS),
+    "ttest_weekday": Query(_ttests, "test:s n_a:i n_b:i df:i t:r6 p:r9", _TTESTS),
     "csv_roundtrip": Query(_csv, _EXTRACT_SPEC, "select * from v_util"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline import params as P
@@ -21,59 +21,68 @@ def with_breed_attributes(df: DataFrame, breeds: DataFrame) -> DataFrame:
 
 
 def with_size(names: DataFrame, rules: Mapping[str, Sequence[str]] | DataFrame, column: str = "breed") -> DataFrame:
-    """Size class by keyword. ``rules`` are lists by class, or a table (size_class, keyword) that stays in Spark: its lists
-    come in by a scalar subquery."""
+    """Size class by keyword: the last class of ``P.SIZE_PRIORITY`` with a keyword in the name wins. ``rules`` are short lists
+    by class, or a table (size_class, keyword) of any length."""
     if not isinstance(rules, DataFrame):
         return names.withColumn("breed_size", classify_by_keywords(F.col(column), rules))
-    lists = rules.where("size_class is not null and keyword is not null").groupBy("size_class").agg(F.collect_set(F.lower("keyword")).alias("words"))
-    found = names.withColumn("_lists", lists.agg(F.map_from_entries(F.collect_list(F.struct("size_class", "words")))).scalar())
-    out = F.when(F.col(column).isNotNull(), P.DEFAULT_SIZE)
-    for name in P.SIZE_PRIORITY:  # the last class with a keyword in the name wins
-        hit = F.exists(F.coalesce(F.try_element_at("_lists", F.lit(name)), F.array().cast("array<string>")), lambda word: F.contains(F.lower(F.col(column)), word))
-        out = F.when(hit, name).otherwise(out)
-    return found.withColumn("breed_size", out).drop("_lists")
+    hits = keyword_hits(names.select(F.lower(column).alias("name")), rules.select(F.lower("keyword").alias("keyword"), "size_class"))
+    order = F.array(*map(F.lit, P.SIZE_PRIORITY))
+    ranked = hits.select("name", F.array_position(order, F.col("size_class")).alias("at")).where("at > 0")
+    best = ranked.groupBy("name").agg(F.element_at(order, F.max("at").cast("int")).alias("_size")).withColumnRenamed("name", "_name")
+    joined = names.join(best, F.lower(column) == F.col("_name"), "left")
+    fallback = F.when(F.col(column).isNotNull(), P.DEFAULT_SIZE)
+    return joined.withColumn("breed_size", F.coalesce("_size", fallback)).drop("_name", "_size")
 
 
-def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed", short: int = 8) -> DataFrame:
+def grams(text: Column, size: int) -> Column:
+    """The distinct runs of ``size`` characters; none if the text is shorter."""
+    starts = F.sequence(F.lit(1), F.char_length(text) - (size - 1))
+    found = F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
+    return F.when(F.char_length(text) >= size, found).otherwise(F.array().cast("array<string>"))
+
+
+def keyword_hits(names: DataFrame, keywords: DataFrame, size: int = 3) -> DataFrame:
+    """(name, keyword and its other columns) wherever a distinct ``name`` contains ``keyword``; nulls meet nothing.
+
+    Each keyword is filed under its rarest gram, by how many names hold it, and names meet only what is filed under a gram of
+    theirs; ``contains`` settles the rest. A keyword with a gram that no name holds is dropped. Keywords of fewer than ``size``
+    characters are a gram themselves, the empty one a gram of every name.
+    """
+    distinct = names.where("name is not null").select("name").distinct()
+    every = F.concat(F.array(F.lit("")), *[grams(F.col("name"), k) for k in range(1, size + 1)])
+    held = distinct.select("name", F.explode(every).alias("gram"))
+    often = held.groupBy("gram").agg(F.count("*").alias("n"))
+
+    words = keywords.where("keyword is not null").distinct()
+    own = F.when(F.char_length("keyword") < size, F.array("keyword")).otherwise(grams(F.col("keyword"), size))
+    parts = words.select("keyword").distinct().select("keyword", F.explode(own).alias("gram"))
+    counted = parts.join(often, "gram", "left").groupBy("keyword").agg(F.min(F.struct("n", "gram")).alias("rarest"), F.count(F.when(F.col("n").isNull(), 1)).alias("_missing"))
+    filed = counted.where("_missing = 0").select("keyword", "rarest.gram")
+    met = held.join(filed, "gram").where(F.contains(F.col("name"), F.col("keyword")))
+    return met.select("name", "keyword").join(words, "keyword").select("name", *words.columns)
+
+
+def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed") -> DataFrame:
     """Tier and score per distinct name.
 
-    An exact match (ignoring case) scores 1. Otherwise the labelled name with the largest
-    token overlap (shared tokens over all tokens) wins, ties by labelled name; no shared
-    token gives the default tier with score 0.
+    An exact match (ignoring case) scores 1. Otherwise the labelled name with the largest token overlap (shared tokens over
+    all tokens) wins, ties by labelled name; no shared token gives the default tier with score 0.
 
-    A common token does not pair every name with every label that holds it. For any set of
-    shared tokens only the shortest label can win, so labels shrink to one row per token
-    subset, and a name looks up its own subsets. Names or labels of more than ``short``
-    tokens have too many subsets; they alone are compared pair by pair.
+    Tokens are in one global order, rarest among the labels first. The shortest label of each token of a name gives a first
+    score: no label that shares one token alone can beat it. What remains shares two tokens or more, so the last token of
+    either side need not be looked up, and a label must have a length and the shared token a place from which the score so
+    far can still be reached. Names meet labels by token and label length, for names and labels of any length.
     """
     label_text = F.lower("unique_breed")
     labels = (
-        labelled.where(F.col("unique_breed").isNotNull())
-        .groupBy(label_text.alias("label"))
-        .agg(F.min("matching_breed").alias("label_tier"))
-        .withColumn("label_tokens", F.array_sort(tokens(F.col("label"))))
-        .withColumn("n_label", F.size("label_tokens"))
+        labelled.where(F.col("unique_breed").isNotNull()).groupBy(label_text.alias("label")).agg(F.min("matching_breed").alias("label_tier"))
+        .withColumn("label_tokens", tokens(F.col("label")))
     )
     wanted = names.select(column).where(F.col(column).isNotNull()).distinct().withColumn("text", F.lower(column))
     exact = labels.select(F.col("label").alias("text"), F.col("label_tier").alias("exact_tier"))
     matched = wanted.join(exact, "text", "left")
-    open_names = (
-        matched.where("exact_tier is null").select("text").distinct()
-        .withColumn("name_tokens", F.array_sort(tokens(F.col("text"))))
-        .withColumn("n_name", F.size("name_tokens"))
-    )
-    short_names, long_names = open_names.where(F.col("n_name") <= short), open_names.where(F.col("n_name") > short)
-    short_labels, long_labels = labels.where(F.col("n_label") <= short), labels.where(F.col("n_label") > short)
-    candidates = (
-        _by_subset(short_names, short_labels).unionByName(_by_pair(short_names, long_labels)).unionByName(_by_pair(long_names, labels))
-    )
-    overlap = F.col("n_shared") / (F.col("n_name") + F.col("n_label") - F.col("n_shared"))
-    # The smallest (-overlap, label) is the best overlap with the first label on ties.
-    best = (
-        candidates.groupBy("text")
-        .agg(F.min(F.struct((-overlap).alias("neg"), "label", "label_tier")).alias("b"))
-        .select("text", F.col("b.label_tier").alias("near_tier"), (-F.col("b.neg")).alias("near_score"))
-    )
+    open_names = matched.where("exact_tier is null").select("text").distinct().withColumn("name_tokens", tokens(F.col("text")))
+    best = nearest_labels(open_names, labels).select("text", F.col("label_tier").alias("near_tier"), F.col("score").alias("near_score"))
     return matched.join(best, "text", "left").select(
         column,
         F.coalesce("exact_tier", "near_tier", F.lit(P.DEFAULT_TIER[0])).alias("tier"),
@@ -83,37 +92,44 @@ def tier_lookup(names: DataFrame, labelled: DataFrame, column: str = "breed", sh
     )
 
 
-_CANDIDATE = ("text", "label", "label_tier", "n_name", "n_label", "n_shared")
+def nearest_labels(names: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, label, label_tier and score: for each name (text, name_tokens) the label (label, label_tier, label_tokens) with
+    the largest overlap, the first on ties; no row if it shares no token with any."""
+    labels = labels.withColumn("n_label", F.size("label_tokens"))
+    posted = labels.select("label", "label_tier", "label_tokens", "n_label", F.explode("label_tokens").alias("token"))
+    tokens_by_use = posted.groupBy("token").agg(F.count("*").alias("uses"), F.min(F.struct("n_label", "label", "label_tier", "label_tokens")).alias("shortest"))
 
-
-def _subsets(df: DataFrame, column: str, size: str) -> DataFrame:
-    """One row per non-empty subset of the sorted tokens."""
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2.0), F.col(size)) - 1).cast("int"))
-    return (
-        df.where(F.col(size) > 0)
-        .withColumn("mask", F.explode(masks))
-        .withColumn("subset", F.expr(f"array_join(filter({column}, (t, i) -> bit_get(mask, i) = 1), ' ')"))
-        .withColumn("n_shared", F.bit_count("mask"))
-        .drop("mask", column)
+    # Known tokens of each name, rarest first, and the best of their shortest labels.
+    overlap = lambda label_tokens, n_label: (
+        F.size(F.array_intersect("name_tokens", label_tokens)) / (F.size("name_tokens") + n_label - F.size(F.array_intersect("name_tokens", label_tokens)))
     )
-
-
-def _by_subset(names: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per token subset of a name, the shortest label (first on ties) that holds it.
-
-    The label may share more tokens than the subset; the larger subset then finds it too,
-    with its full overlap.
-    """
-    shortest = _subsets(labels, "label_tokens", "n_label").groupBy("subset").agg(F.min(F.struct("n_label", "label", "label_tier")).alias("b"))
-    return _subsets(names, "name_tokens", "n_name").join(shortest.select("subset", "b.*"), "subset").select(*_CANDIDATE)
-
-
-def _by_pair(names: DataFrame, labels: DataFrame) -> DataFrame:
-    """Shared tokens of every name and label that have one in common."""
-    left = names.select("text", "n_name", F.explode("name_tokens").alias("token"))
-    right = labels.select("label", "label_tier", "n_label", F.explode("label_tokens").alias("token"))
-    keys = ["text", "label", "label_tier", "n_name", "n_label"]
-    return left.join(right, "token").groupBy(*keys).agg(F.count("*").cast("int").alias("n_shared")).select(*_CANDIDATE)
+    said = names.select("text", "name_tokens", F.explode("name_tokens").alias("token")).join(tokens_by_use, "token")
+    first = F.struct((-overlap(F.col("shortest.label_tokens"), F.col("shortest.n_label"))).alias("neg"), F.col("shortest.label").alias("label"), F.col("shortest.label_tier").alias("label_tier"))
+    known = said.groupBy("text", "name_tokens").agg(F.array_sort(F.collect_list(F.struct("uses", "token"))).alias("known"), F.min(first).alias("first"))
+
+    # (token, length) pairs that a better label of two shared tokens or more would have as its first shared token. ``rest`` is
+    # how many shared tokens there can be from there on.
+    so_far, n_name = -F.col("first.neg"), F.size("name_tokens")
+    lengths = labels.select("n_label").distinct().agg(F.array_sort(F.collect_list("n_label"))).scalar()  # as many as the longest label has tokens
+    places = F.transform(F.slice("known", 1, F.greatest(F.size("known") - 1, F.lit(0))), lambda t, i: F.struct(t["token"].alias("token"), (F.size("known") - i).alias("rest")))
+    looked = known.select("text", "name_tokens", n_name.alias("n_name"), so_far.alias("so_far"), F.explode(places).alias("p"), lengths.alias("lengths"))
+    reach = lambda rest, n_label: rest / (F.col("n_name") + n_label - rest)
+    near = 1e-12  # a tie must not fall to rounding
+    able = F.filter("lengths", lambda n: (n >= 2) & (reach(F.least(F.col("p.rest"), n), n) >= F.col("so_far") - near))
+    looked = looked.select("text", "name_tokens", "n_name", "so_far", F.col("p.token").alias("token"), F.col("p.rest").alias("rest"), F.explode(able).alias("n_label"))
+
+    ordered = posted.join(tokens_by_use.select("token", "uses"), "token").groupBy("label", "label_tier", "label_tokens", "n_label").agg(
+        F.array_sort(F.collect_list(F.struct("uses", "token"))).alias("t")
+    )
+    heads = F.transform(F.slice("t", 1, F.col("n_label") - 1), lambda t, i: F.struct(t["token"].alias("token"), (F.col("n_label") - i).alias("label_rest")))
+    filed = ordered.where("n_label >= 2").select("label", "label_tier", "label_tokens", "n_label", F.explode(heads).alias("h")).select(
+        "label", "label_tier", "label_tokens", "n_label", "h.token", "h.label_rest"
+    )
+    met = looked.join(filed, ["token", "n_label"]).where(reach(F.least("rest", "label_rest"), F.col("n_label")) >= F.col("so_far") - near)
+    score = F.struct((-overlap(F.col("label_tokens"), F.col("n_label"))).alias("neg"), "label", "label_tier")
+    candidates = met.groupBy("text").agg(F.min(score).alias("b")).unionByName(known.select("text", F.col("first").alias("b")))
+    found = candidates.groupBy("text").agg(F.min("b").alias("b"))
+    return found.select("text", "b.label", "b.label_tier", (-F.col("b.neg")).alias("score"))
 
 
 def enrich_new(df: DataFrame, known: DataFrame, labelled: DataFrame, rules: Mapping[str, Sequence[str]]) -> DataFrame:

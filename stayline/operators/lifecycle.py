@@ -27,7 +27,8 @@ def returning_patients(facts: DataFrame, visits: DataFrame, scored: DataFrame, c
 
 def refresh_rows(returning: DataFrame, scored: DataFrame) -> DataFrame:
     """One update row per stored prediction of a returning patient."""
-    return scored.select("id", "uid").join(returning, "uid").select("id", "total_num_visit", "total_future_spend")
+    stored = scored.select("id", "uid", "predict_for_visit_number")
+    return stored.join(returning, "uid").select("id", "uid", "predict_for_visit_number", "total_num_visit", "total_future_spend")
 
 
 def best_run(runs: DataFrame, by: str = "experiment_id") -> DataFrame:

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel, LinearRegression
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline import params as P
@@ -22,6 +25,7 @@ from stayline.functions.numeric import as_flag
 from stayline.operators.features import MODEL_COLUMNS
 from stayline.operators.labels import LABEL
 from stayline.operators.metrics import apply_cutoff, roc_cutoff
+from stayline.session import work_path
 
 
 def as_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,42 +78,147 @@ def importances(model: PipelineModel, columns: Sequence[str] = MODEL_COLUMNS):
     return [(band, name, float(gain)) for band, m in members for name, gain in zip(columns, m.featureImportances.toArray())]
 
 
+def split_counts(spark: SparkSession, model: PipelineModel, columns: Sequence[str] = MODEL_COLUMNS) -> DataFrame:
+    """band, feature and splits: how many inner nodes of the band's trees ask for a feature, zeros included.
+
+    The model is saved to the shared folder, where its nodes are a table: one row a node, with what it splits by.
+    """
+    fitted, folder = model.stages[-1], work_path(spark, "trees")
+    members = list(enumerate(fitted.models)) if hasattr(fitted, "models") else [(None, fitted)]
+    out = None
+    for band, member in members:
+        member.save(f"{folder}/band-{band}")
+        nodes = spark.read.parquet(f"{folder}/band-{band}/data").select("nodeData.leftChild", F.col("nodeData.split.featureIndex").alias("at"))
+        counts = nodes.where("leftChild >= 0").agg(*[F.count(F.when(F.col("at") == i, 1)).alias(f"_{i}") for i in range(len(columns))])
+        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_{i}").alias("splits")) for i, c in enumerate(columns)]))
+        part = counts.select(F.lit(band).cast("int").alias("band"), rows.alias("r")).select("band", "r.feature", "r.splits")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def inner_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """band and inner_nodes, from the trees in memory: a binary tree of n nodes has (n - 1) / 2 that split."""
+    fitted = model.stages[-1]
+    members = list(enumerate(fitted.models)) if hasattr(fitted, "models") else [(None, fitted)]
+    rows = [(band, sum((t.numNodes - 1) // 2 for t in m.trees)) for band, m in members]
+    return spark.createDataFrame(rows, "band int, inner_nodes long")
+
+
 def importance_table(spark, model: PipelineModel, columns: Sequence[str] = MODEL_COLUMNS) -> DataFrame:
     return spark.createDataFrame(importances(model, columns), "band int, feature string, gain double")
 
 
-def fit_binomial(train: DataFrame, columns: Sequence[str], label: str):
-    """Binomial regression without intercept."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(as_matrix(train, columns))
-    glm = GeneralizedLinearRegression(family="binomial", fitIntercept=False, labelCol=label, maxIter=25, regParam=1e-6)
-    return glm.fit(data.select("features", F.col(label).cast("double").alias(label)))
+def gram(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Sums of products of all pairs of columns, by one aggregate."""
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
+    x = [F.col(c).cast("double") for c in columns]
+    sums = df.agg(F.array(*[F.coalesce(F.sum(x[i] * x[j]), F.lit(0.0)) for i, j in pairs])).first()[0]
+    out = np.zeros((len(columns), len(columns)))
+    for (i, j), value in zip(pairs, sums):
+        out[i, j] = out[j, i] = value
+    return out
 
 
-def binomial_summary(spark, model, columns: Sequence[str]) -> DataFrame:
-    """Coefficient table of a fitted binomial regression: one row per term.
+def independent(products: np.ndarray, tolerance: float = 1e-9) -> list[int]:
+    """Columns that are no combination of those before them, from their Gram matrix.
 
-    Standard errors do not exist for a penalised fit, so the summary refits nothing and
-    leaves them null where Spark offers none.
+    Elimination from the left: what is left of a column's square after the kept ones are taken out, against what it was. A
+    column that comes down to ``tolerance`` of itself is aliased and takes no further part.
     """
-    estimates = [float(c) for c in model.coefficients]
-    try:
-        s = model.summary
-        rows = list(zip(columns, estimates, s.coefficientStandardErrors, s.tValues, s.pValues))
-    except Exception:  # noqa: BLE001 - Spark raises a plain exception when errors are undefined
-        rows = [(name, e, None, None, None) for name, e in zip(columns, estimates)]
+    left = products.astype(float).copy()
+    kept = []
+    for j in range(len(left)):
+        if left[j, j] <= tolerance * products[j, j] or products[j, j] <= 0:
+            continue
+        kept.append(j)
+        left = left - np.outer(left[:, j], left[j]) / left[j, j]
+    return kept
+
+
+@dataclass(frozen=True)
+class Binomial:
+    """A binomial regression without intercept; aliased terms have no coefficient."""
+
+    columns: list[str]
+    kept: list[str]
+    fitted: GeneralizedLinearRegressionModel
+
+    def coefficients(self) -> dict[str, float | None]:
+        own = dict(zip(self.kept, map(float, self.fitted.coefficients)))
+        return {c: own.get(c) for c in self.columns}
+
+
+def fit_binomial(train: DataFrame, columns: Sequence[str], label: str) -> Binomial:
+    """Binomial regression by iteratively reweighted least squares, without intercept and without penalty.
+
+    Columns that depend on earlier ones are found first and left out, so that the fit has one solution. Classes that the
+    columns separate perfectly have none: the fit then stops where the likelihood no longer gains.
+    """
+    whole = as_matrix(train, columns)
+    kept = [columns[j] for j in independent(gram(whole, columns))]
+    data = VectorAssembler(inputCols=kept, outputCol="features").transform(whole)
+    glm = GeneralizedLinearRegression(family="binomial", fitIntercept=False, labelCol=label, maxIter=100, tol=1e-12, regParam=0.0)
+    return Binomial(list(columns), kept, glm.fit(data.select("features", F.col(label).cast("double").alias(label))))
+
+
+def binomial_summary(spark, model: Binomial) -> DataFrame:
+    """Coefficient table: one row per term, nulls for aliased ones."""
+    s = model.fitted.summary
+    own = dict(zip(model.kept, zip(map(float, model.fitted.coefficients), s.coefficientStandardErrors, s.tValues, s.pValues)))
+    rows = [(c, *own.get(c, (None,) * 4)) for c in model.columns]
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, z double, p double")
 
 
-def predict_binomial(model, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(as_matrix(df, columns))
-    return model.transform(data).withColumnRenamed("prediction", "score").drop("features")
+def binomial_score(model: Binomial, df: DataFrame, label: str) -> DataFrame:
+    """term, observed (X'y) and expected (X'p): equal for every term, aliased ones too, where the likelihood is largest."""
+    scored = predict_binomial(model, df)
+    y, p = F.col(label).cast("double"), F.col("score")
+    x = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(P.MISSING_WEIGHT))) for c in model.columns}
+    rows = [F.struct(F.lit(c).alias("term"), F.sum(v * y).alias("observed"), F.sum(v * p).alias("expected")) for c, v in x.items()]
+    return scored.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+
+def predict_binomial(model: Binomial, df: DataFrame) -> DataFrame:
+    data = VectorAssembler(inputCols=model.kept, outputCol="features").transform(as_matrix(df, model.columns))
+    return model.fitted.transform(data).withColumnRenamed("prediction", "score").drop("features")
+
+
+@dataclass(frozen=True)
+class Network:
+    """The network of the best round, and the validation loss after every round."""
+
+    fitted: MultilayerPerceptronClassificationModel
+    losses: list[float]
 
+    @property
+    def best_round(self) -> int:
+        """Rounds count from 1; the first of equal losses is the best."""
+        return self.losses.index(min(self.losses)) + 1
 
-def fit_network(train: DataFrame, columns: Sequence[str], label: str, iterations: int = 100):
-    """Feed-forward net with hidden layers of 32 and 64; the input size follows the columns."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(as_matrix(train, columns))
-    net = MultilayerPerceptronClassifier(layers=[len(columns), 32, 64, 2], labelCol=label, maxIter=iterations, seed=P.SPLIT_SEED)
-    return net.fit(data.select("features", F.col(label).cast("double").alias(label)))
+
+def log_loss(scored: DataFrame, label: str, score: str = "score") -> float:
+    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col(score)))
+    y = F.col(label).cast("double")
+    return float(scored.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0])
+
+
+def fit_network(train: DataFrame, validation: DataFrame, columns: Sequence[str], label: str, rounds: int = 25, steps: int = 4, patience: int = 3) -> Network:
+    """Feed-forward net with hidden layers of 32 and 64; the input size follows the columns.
+
+    Fitted in rounds of a few steps, each from the weights of the one before. After ``patience`` rounds without a smaller loss
+    on the validation rows it stops; the best round's weights count.
+    """
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
+    data = assembler.transform(as_matrix(train, columns)).select("features", F.col(label).cast("double").alias(label))
+    net = MultilayerPerceptronClassifier(layers=[len(columns), 32, 64, 2], labelCol=label, maxIter=steps, seed=P.SPLIT_SEED)
+    losses, best = [], None
+    while len(losses) < rounds and (not losses or len(losses) - losses.index(min(losses)) <= patience):
+        fitted = net.fit(data)
+        net.setInitialWeights(fitted.weights)
+        losses.append(log_loss(predict_network(fitted, validation, columns), label))
+        if min(losses) == losses[-1] and losses.count(losses[-1]) == 1:
+            best = fitted
+    return Network(best, losses)
 
 
 def predict_network(model, df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.operators.prefix import running_sums
+
 
 def _coarse_slot(value: Column) -> Column:
     """Slot number that never decreases with the value; fine near zero, wide far out."""
@@ -74,32 +76,38 @@ def _hit(df: DataFrame, start: str, n: str) -> DataFrame:
     return df.withColumn("wants", kept).where(F.size("wants") > 0)
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers at 1.5 interquartile ranges, and outlier count per group."""
-    by = list(by)
-    named = F.when(F.col("prob") == 0.25, "q1").when(F.col("prob") == 0.5, "median").otherwise("q3")
-    quartiles = (
-        percentiles(df, value, (0.25, 0.5, 0.75), by)
-        .withColumn("q", named)
-        .groupBy(*by)
-        .pivot("q", ["q1", "median", "q3"])
-        .agg(F.first("value"))
-    )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    v = F.col(value)
-    inside = (v >= F.col("q1") - F.col("reach")) & (v <= F.col("q3") + F.col("reach"))
-    quartiles = quartiles.withColumn("reach", reach)
-    return (
-        df.where(v.isNotNull())
-        .join(quartiles, by)
-        .groupBy(*by, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, v)).alias("low_whisker"),
-            F.max(F.when(inside, v)).alias("high_whisker"),
-            F.sum(F.when(inside, 0).otherwise(1)).alias("outliers"),
-            F.count("*").alias("n"),
-        )
+def box_stats(df: DataFrame, values: str | Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Quartiles, whiskers at 1.5 interquartile ranges, outliers and rows per group, nulls left out; for several columns one
+    row each, told by ``measure``.
+
+    One pass over the rows gives counts per distinct value. With the rows before each value these counts are a weighted rank
+    structure: quartiles are read at their positions, and whiskers and outlier counts from the same counts again.
+    """
+    names, by = [values] if isinstance(values, str) else list(values), list(by)
+    offered = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in names]))
+    rows = df.select(*by, offered.alias("m")).select(*by, "m.measure", "m.v").where("v is not null")
+    keys = [*by, "measure"]
+    counts = rows.groupBy(*keys, "v").agg(F.count("*").alias("n"))
+    ranked = running_sums(counts, "v", ["n"], keys)
+
+    def at(position: Column) -> Column:
+        """The value whose rows take up a position."""
+        return F.max(F.when((F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n")), F.col("v")))
+
+    picks = {}
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        place = F.lit(p) * (F.col("n_total") - 1)
+        picks |= {f"{name}_below": at(F.floor(place)), f"{name}_above": at(F.ceil(place)), f"{name}_part": F.max(place - F.floor(place))}
+    found = ranked.groupBy(*keys).agg(*[c.alias(k) for k, c in picks.items()])
+    quartile = lambda q: (F.col(f"{q}_below") + F.col(f"{q}_part") * (F.col(f"{q}_above") - F.col(f"{q}_below"))).alias(q)
+    boxes = found.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *map(quartile, ("q1", "median", "q3")))
+    boxes = boxes.withColumn("reach", 1.5 * (F.col("q3") - F.col("q1")))
+    inside = (F.col("v") >= F.col("q1") - F.col("reach")) & (F.col("v") <= F.col("q3") + F.col("reach"))
+    out = counts.join(boxes, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]).groupBy(*keys, "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col("v"))).alias("low_whisker"), F.max(F.when(inside, F.col("v"))).alias("high_whisker"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"), F.sum("n").alias("n"),
     )
+    return out.drop("measure") if isinstance(values, str) else out
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

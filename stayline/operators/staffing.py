@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline import params as P
 from stayline.functions.dates import dow_monday0, dow_sunday0
-from stayline.functions.numeric import as_flag, money, ratio, utilisation
+from stayline.functions.numeric import as_flag, money, ratio, two_sided_p, utilisation
 from stayline.functions.text import leading
 
 
@@ -121,7 +121,7 @@ def split_per_code(util: DataFrame, codes: Sequence[str]) -> DataFrame:
 
 
 def t_tests(df: DataFrame, value: str, samples: Mapping[str, tuple[Column, Column]]) -> DataFrame:
-    """Student's t (equal variances) for named pairs of row conditions, in one pass."""
+    """Student's t (equal variances) with its two-sided p for named pairs of row conditions, in one pass."""
     v = F.col(value).cast("double")
     aggs = []
     for name, (first, second) in samples.items():
@@ -135,4 +135,5 @@ def t_tests(df: DataFrame, value: str, samples: Mapping[str, tuple[Column, Colum
     out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*").withColumn("df", F.col("n_a") + F.col("n_b") - 2)
     pooled = F.try_divide((F.col("n_a") - 1) * F.col("v_a") + (F.col("n_b") - 1) * F.col("v_b"), F.col("df"))
     spread = F.sqrt(pooled * (F.try_divide(F.lit(1.0), F.col("n_a")) + F.try_divide(F.lit(1.0), F.col("n_b"))))
-    return out.withColumn("t", F.try_divide(F.col("m_a") - F.col("m_b"), spread))
+    out = out.withColumn("t", F.try_divide(F.col("m_a") - F.col("m_b"), spread))
+    return out.withColumn("p", two_sided_p(F.col("t"), F.col("df")))

@@ -70,6 +70,12 @@ class Inputs:
             self._raw[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._raw[name]
 
+    def until(self, day: dt.date) -> Inputs:
+        """The same tables as they were before ``day``: later transactions are not there yet."""
+        earlier = Inputs(self.spark, self.folder)
+        earlier.__dict__["transactions"] = self.transactions.where(F.col("datetime_date") < F.lit(day))
+        return earlier
+
     # -- clinic tables ---------------------------------------------------------------------
     @cached_property
     def transactions(self) -> DataFrame:
@@ -300,6 +306,12 @@ class Inputs:
             ((event * 31 % 997 + F.when(F.col("event_type") == "purchase", 400).otherwise(0)) / 1400.0).cast("double").alias("score"),
         )
 
+    @cached_property
+    def size_keywords(self) -> DataFrame:
+        """The keyword table: the size rules, one row a keyword."""
+        rows = [(name, word) for name, words in SIZE_RULES.items() for word in words]
+        return self.spark.createDataFrame(rows, "size_class string, keyword string")
+
     @cached_property
     def labelled_names(self) -> DataFrame:
         """Names that already have a tier: a bounded list of the distinct two-word names."""

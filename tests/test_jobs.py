@@ -25,10 +25,10 @@ def test_train_record_score_and_append(spark):
 
     table = work_path(spark, "scores")
     score_plan.score_and_append(inputs, {1: model}, AS_OF, table)
-    stored = cut_lineage(sinks.read_back(spark, table))
+    stored = cut_lineage(sinks.scores_table(spark, table).read())
     assert stored.count() == stored.select("uid").distinct().count() > 0
-    score_plan.score_and_append(inputs, {1: model}, AS_OF, table)
-    assert sinks.read_back(spark, table).count() == stored.count()
+    assert not score_plan.score_and_append(inputs, {1: model}, AS_OF, table)
+    assert sinks.scores_table(spark, table).read().count() == stored.count()
     sums = stored.select(sum(F.col(c) for c in scoring.PROBS).alias("s")).agg(F.min("s"), F.max("s")).first()
     assert 0.99 <= sums[0] <= sums[1] <= 1.01
 

@@ -13,7 +13,7 @@ from stayline.operators.rows import repeat_rows, split_by
 from stayline.plans.enrichment import enrich
 from stayline.session import shared_folder, work_path
 from stayline.sources import sinks
-from stayline.sources.tables import LABELLED_BREEDS, SCORES_SCHEMA, read_csv, read_size_keywords, read_table, to_target
+from stayline.sources.tables import LABELLED_BREEDS, SCORES_SCHEMA, read_csv, read_size_keywords, to_target
 
 
 def test_repeat_rows_crosses_blocks(spark):
@@ -88,8 +88,7 @@ def test_tier_lookup_paths_agree_with_brute_force(spark):
                 scores.append((-len(a & b) / len(a | b), label, tier))
         want[w] = (labelled[w], 1.0) if w in labelled else (min(scores)[2], -min(scores)[0]) if scores else ("oth", 0.0)
     names, labels_df = spark.createDataFrame([(w,) for w in wanted], "breed string"), spark.createDataFrame(list(labelled.items()), LABELLED_BREEDS)
-    for short in (8, 3, 0):
-        assert {r.breed: (r.tier, r.tier_score) for r in breeds.tier_lookup(names, labels_df, short=short).collect()} == want
+    assert {r.breed: (r.tier, r.tier_score) for r in breeds.tier_lookup(names, labels_df).collect()} == want
 
 
 def test_enrichment_appends_only_new_names(spark):
@@ -128,15 +127,14 @@ def score_frame(spark, uids):
 def test_scores_are_typed_and_appended_once(spark):
     path = work_path(spark, "scores")
     sinks.append_scores(score_frame(spark, ["1_1", "1_2"]), path)
-    stored = sinks.read_back(spark, path)
+    stored = sinks.scores_table(spark, path).read()
     row = stored.where("uid = '1_1'").first()
     assert (row.final_category, row.final_category_prob, row.total_future_spend) == (1, Decimal("0.300"), 13)
     assert dict(stored.dtypes)["predicted_val_prob_5"] == "decimal(4,3)" and stored.select("id").distinct().count() == 2
     again = score_frame(spark, ["1_1", "1_2", "1_3"]).withColumn("visit_number", F.lit(1))
     sinks.append_scores(scoring.not_yet_scored(again, stored), path)
     sinks.append_scores(score_frame(spark, []), path)
-    assert sorted(r.uid for r in sinks.read_back(spark, path).collect()) == ["1_1", "1_2", "1_3"]
-    assert read_table(spark, path, ["uid"]).columns == ["uid"]
+    assert sorted(r.uid for r in sinks.scores_table(spark, path).read().collect()) == ["1_1", "1_2", "1_3"]
     assert to_target(score_frame(spark, ["x"]), SCORES_SCHEMA).columns == list(SCORES_SCHEMA)
 
 
@@ -150,7 +148,9 @@ def test_anti_join_by_visit_or_at_all(spark):
 def test_keyed_update(spark):
     target = spark.createDataFrame([(1, "x", 5), (2, "y", 6)], "id long, uid string, n smallint")
     updates = spark.createDataFrame([(2, 9), (3, 1)], "id long, n int")
-    out = sinks.keyed_update(target, updates, "id", ["n"])
+    out = sinks.keyed_update(target, updates, ["id"], ["n"])
+    with pytest.raises(Exception, match="more than one update"):
+        sinks.keyed_update(target, updates.unionByName(updates), ["id"], ["n"]).collect()
     assert out.schema == target.schema and {tuple(r) for r in out.collect()} == {(1, "x", 5), (2, "y", 9)}
     path = work_path(spark, "target")
     sinks.recreate(target, path)

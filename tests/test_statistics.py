@@ -81,7 +81,7 @@ def test_roc_cutoff_by_brute_force(spark):
     def point(cut):
         return sum(t for t, s in rows if s >= cut) / pos, sum(1 - t for t, s in rows if s >= cut) / neg
 
-    got = {r.threshold: (r.tpr, r.fpr) for r in M.roc_points(df, slots=16).collect()}
+    got = {r.threshold: (r.tpr, r.fpr) for r in M.roc_points(df).collect()}
     assert got == {s: point(s) for s in {s for _, s in rows}}
     best = min(got, key=lambda s: (abs(got[s][0] - (1 - got[s][1])), -s))
     assert M.roc_cutoff(df).first().threshold == best
