@@ -311,21 +311,31 @@ union all select 2, bucket, true, n_rows from sizes where bucket in (select {_IN
 union all select 3, bucket, true, n_rows from sizes where bucket in (select bucket from stored where id in (select id from ({_REFRESH_SQL})))"""
 _UPDATED_SPEC = "id:i uid:s predict_for_visit_number:i total_num_visit:i total_future_spend:d"
 
+# Each line counts once for every contact and booking of its animal's owner, or once if there are none.
 _PROMO_SQL = """
 select * from (
-with listed as (
-  select cd.uid, cd.day as date, p.is_medical, w.wellness_plan, t.product_name, t.revenue
-  from v_visits_rows cd
-  join fx_transactions t on cd.uid = cast(t.location_id as varchar) || '_' || cast(t.animal_id as varchar) and cd.day = cast(t.datetime_date as date)
-  join fx_animals a on a.id = t.animal_id
-  join fx_products p on (p.ezyvet_id, p.location_id) = (t.product_id, t.location_id)
-  left join fx_contacts c on (c.ezyvet_id, c.location_id) = (a.contact_id, t.location_id)
-  left join fx_appointments b on (b.ezyvet_id, b.location_id) = (a.contact_id, t.location_id)
-  left join v_wellness w on w.uid = cd.uid and w.day = cd.day),
-totals as (select uid, count(wellness_plan) as wellness_plan_count, count(*) filter (where starts_with(product_name, 'hot gi')) as free_count from listed group by uid),
-ranks as (select uid, date, row_number() over (partition by uid order by date) as rank_ from (select distinct uid, date from listed))
-select uid, date, is_medical, wellness_plan, wellness_plan_count, product_name, free_count, revenue, rank_, count(*) as repeats
-from listed join totals using (uid) join ranks using (uid, date) group by all)"""
+with lines as (
+  select cast(location_id as varchar) || '_' || cast(animal_id as varchar) as uid, cast(datetime_date as date) as date, location_id, animal_id, product_id,
+    product_name, revenue, count(*) as n
+  from fx_transactions group by all),
+contacts as (select ezyvet_id as contact_id, location_id, count(*) as n from fx_contacts group by all),
+bookings as (select ezyvet_id as contact_id, location_id, count(*) as n from fx_appointments group by all),
+listed as (
+  select l.uid, l.date, p.is_medical, w.wellness_plan, l.product_name, l.revenue, sum(l.n * coalesce(c.n, 1) * coalesce(b.n, 1)) as repeats
+  from (select * from lines where (uid, date) in (select (uid, day) from v_visits_rows)) l
+  join fx_products p on p.ezyvet_id = l.product_id and p.location_id = l.location_id
+  join fx_animals a on a.id = l.animal_id
+  left join contacts c on c.contact_id = a.contact_id and c.location_id = l.location_id
+  left join bookings b on b.contact_id = a.contact_id and b.location_id = l.location_id
+  left join v_wellness w on w.uid = l.uid and w.day = l.date
+  group by all),
+totals as (
+  select uid, coalesce(sum(repeats) filter (where wellness_plan is not null), 0) as wellness_plan_count,
+    coalesce(sum(repeats) filter (where starts_with(product_name, 'hot gi')), 0) as free_count
+  from listed group by uid),
+places as (select uid, date, row_number() over (partition by uid order by date) as rank_ from (select distinct uid, date from listed))
+select uid, date, is_medical, wellness_plan, wellness_plan_count, product_name, free_count, revenue, rank_, repeats
+from listed join totals using (uid) join places using (uid, date))"""
 _PROMO_SPEC = "uid:s date:s is_medical:i wellness_plan:s wellness_plan_count:i product_name:s free_count:i revenue:d rank_:i repeats:i"
 
 _SNAP_COLS = "uid, visit_number, max_num_visit, visit_more_than_once, wellness_plan, product_count, most_recent_visit_spend, total_future_spend, total_past_spend"
