@@ -30,7 +30,8 @@ from stayline.session import work_path
 
 #: Lower-cases A-Z; every other ASCII character but digits and a-z parts words.
 CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: Ranges of the sort at most, rows of one at least, and sampled rows for each: at most 65,536 rows come to the driver.
+#: Ranges of the sort at most, rows of one beyond as many as there are shuffle tasks, and sampled rows for each: at most
+#: 65,536 rows come to the driver.
 RANGES, RANGE_ROWS, SAMPLES = 4_096, 4_096, 16
 
 
@@ -123,7 +124,7 @@ def draw(docs: DataFrame, target: DataFrame, percent: int = 25, least_words: int
 
     n = runs.where("open").count()
     drawn = n * percent // 100
-    ranges = max(1, min(RANGES, n // RANGE_ROWS))
+    ranges = max(1, min(RANGES, max(n // RANGE_ROWS, int(spark.conf.get("spark.sql.shuffle.partitions"))), n // (2 * SAMPLES)))
     stride = max(1, n // (ranges * SAMPLES))
     regular = (F.col("_row") + F.pmod(F.xxhash64("_file"), F.lit(stride))) % stride == 0
     sample = sorted(map(tuple, runs.where(F.col("open") & regular).select(*names).collect()))
