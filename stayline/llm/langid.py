@@ -13,7 +13,6 @@ settled by name. An empty table gives an empty result. Only the named columns ar
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from itertools import count
@@ -21,12 +20,13 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 LONGEST = 8  # bytes of a piece, so that one fits a 64-bit key
-_WORDS = re.compile(r"[^\W\d_]{1,64}").findall
+_WORDS = regex.compile(r"\p{L}{1,64}").findall
 _CHUNK_BYTES, _CHUNK_WORDS = 16_000_000, 20_000
 
 
