@@ -12,11 +12,13 @@ from stayline.functions.keys import hash_bucket
 from stayline.functions.numeric import as_flag
 from stayline.operators import features, labels, lifecycle, metrics, models
 from stayline.operators import returns as R
+from stayline.operators.scoring import PROBS
 from stayline.plans import returns as return_plan
 from stayline.plans import scoring as score_plan
 from stayline.plans import staffing as staff_plan
 from stayline.plans import training
-from stayline.session import cut_lineage
+from stayline.session import cut_lineage, work_path
+from stayline.sources import sinks
 from stayline.sources.inputs import AS_OF, PROMO_PREFIX, RAW_GROUPS, SPECIES, Inputs
 
 _BY_RUN = {"metrics": "fx_metrics", "latest_metrics": "fx_latest_metrics", "params": "fx_params", "tags": "fx_tags"}
@@ -90,6 +92,38 @@ def _importance(t: Inputs):
     return models.importance_table(t.spark, models.fit_bands(rows.where("is_train")))
 
 
+def _train_visits(t: Inputs):
+    """The training job for visits 1 to 5: how many rows of each band it was measured on, by the models' own predictions."""
+    out = None
+    for n, trained in training.train_all(t, AS_OF, promo_prefix=PROMO_PREFIX, fit=models.fit_forest).items():
+        seen = trained.holdout.where("prediction between 0 and 5").groupBy(F.col(labels.LABEL).alias("band")).agg(F.count("*").alias("measured"))
+        part = seen.withColumn("visit_number", F.lit(n))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _visit_metrics(t: Inputs):
+    """The nine metrics of each visit number's model."""
+    out = None
+    for n, trained in training.train_all(t, AS_OF, promo_prefix=PROMO_PREFIX, fit=models.fit_forest).items():
+        part = trained.metrics.withColumn("visit_number", F.lit(n))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _score_visits(t: Inputs):
+    """The scoring job for visits 1 to 5, on a table that holds what is scored, and once more: every unscored patient and
+    visit is added once, with probabilities that add up to one within their rounding."""
+    table = sinks.scores_table(t.spark, work_path(t.spark, "scored"))
+    table.append(t.scored.select(*[F.col(c) if c in t.scored.columns else F.lit(None).alias(c) for c in table.schema]))
+    fitted = {n: trained.model for n, trained in training.train_all(t, AS_OF, promo_prefix=PROMO_PREFIX, fit=models.fit_forest).items()}
+    for _ in range(2):
+        score_plan.score_and_append(t, fitted, AS_OF, table.path)
+    total = sum(F.col(c) for c in PROBS)
+    fine = (F.abs(total - 1) <= 0.003) & (F.col("final_category_prob") == F.greatest(*PROBS)) & F.col("final_category").between(0, 5)
+    return table.read().withColumns({"added": F.col("date_of_upload").isNotNull().cast("int"), "fine": F.coalesce(fine, F.lit(False)).cast("int")})
+
+
 def _split_counts(t: Inputs):
     """Splits by band and feature beside the gain, and how many inner nodes the band's trees have."""
     model = models.fit_bands(_training_rows(t).where("is_train"))
@@ -194,6 +228,21 @@ def _linreg(t: Inputs):
     return t.spark.createDataFrame(values, "term string, estimate double")
 
 
+def _linreg_divisions(t: Inputs):
+    """Revenue per hour on minutes in office and free time, with a level for every division."""
+    study = staff_plan.study(t, "1996-01-01", "2000-12-31")
+    fitted = models.fit_within(study, ("minutes_in_office", "free_time"), "rev_per_hour", "division_name")
+    levels = fitted.levels.select(F.col("division_name").alias("term"), F.col("level").alias("estimate"), "n")
+    return levels.unionByName(t.spark.createDataFrame([(c, b, None) for c, b in fitted.slopes.items()], "term string, estimate double, n long"))
+
+
+# Minutes in office never vary, so they are aliased; the other slope is that of the deviations from division means.
+_LINREG_DIVISIONS = """
+with d as (select *, free_time - avg(free_time) over w as dx, rev_per_hour - avg(rev_per_hour) over w as dy from v_study window w as (partition by division_name)),
+b as (select sum(dx * dy) / sum(dx * dx) as slope from d)
+select division_name as term, avg(rev_per_hour) - any_value(slope) * avg(free_time) as estimate, count(*) as n from v_study, b group by 1
+union all select 'free_time', slope, null from b union all select 'minutes_in_office', null, null"""
+
 _LINREG = """
 select unnest(['intercept', 'block_minutes', 'free_time']) as term, unnest([my - b1 * m1 - b2 * m2, b1, b2]) as estimate
 from (select *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) as b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) as b2
@@ -240,6 +289,18 @@ QUERIES: dict[str, Query] = {
     "train_binary": Query(_binary_train, "metric:s value:d"),
     "forest_score": Query(_forest, "metric:s value:d"),
     "importance": Query(_importance, "band:i feature:s gain:d"),
+    "train_visits": Query(
+        _train_visits,
+        "visit_number:i band:i measured:i",
+        f"select visit_number, {_BAND_CASE} as band, count(*) as measured from v_features where total_future_spend >= 0 and not ({_IS_TRAIN}) group by 1, 2",
+    ),
+    "visit_metrics": Query(_visit_metrics, "visit_number:i metric:s value:d"),
+    "score_visits": Query(
+        _score_visits,
+        "uid:s predict_for_visit_number:i total_num_visit:i total_future_spend:d added:i fine:i",
+        """select uid, predict_for_visit_number, total_num_visit, total_future_spend, 0 as added, 0 as fine from fx_scored
+          union all select uid, visit_number, max_num_visit, cast(total_future_spend as decimal(6,0)), 1, 1 from v_score_features""",
+    ),
     "split_counts": Query(_split_counts, "band:i feature:s splits:i gain:d inner_nodes:i"),
     "split_checks": Query(
         _split_checks,
@@ -259,5 +320,6 @@ QUERIES: dict[str, Query] = {
         f"""select count(*) filter (where held) as fit_rows, count(*) filter (where not held) as stop_rows, 1 as best_is_least, 1 as best_weights_kept, 1 as stopped_by_patience
           from (select cast('0x' || substr(md5(animal_id || '|43'), 1, 8) as bigint) % 100 < 80 as held from ({_FIRST_SQL}) where is_train)""",
     ),
+    "linreg_divisions": Query(_linreg_divisions, "term:s estimate:r6 n:i", _LINREG_DIVISIONS),
     "linreg_fit": Query(_linreg, "term:s estimate:r4", _LINREG),
 }

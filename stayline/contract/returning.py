@@ -20,6 +20,7 @@ _SCALED_SQL = ", ".join(
     f"({c} - least({', '.join(_COLUMNS.values())})) / nullif(greatest({', '.join(_COLUMNS.values())}) - least({', '.join(_COLUMNS.values())}), 0) as {c}" for c in _COLUMNS.values()
 )
 _DOG_VISITS = f"select animal_id, rank_, {_SUM_SQL} from v_short where species = 'Canine (Dog)' and rank_ <= 5 group by 1, 2"
+_CAT_VISITS = f"select animal_id, rank_, {_SUM_SQL} from v_short where species = 'Feline (Cat)' and rank_ <= 2 group by 1, 2"
 _VISIT_PROFILE = f"select rank_ as number_of_visits, count(*) as n, {_AVG_SQL} from ({_DOG_VISITS}) group by 1"
 
 
@@ -45,13 +46,13 @@ def _first_days(t: Inputs):
     return histogram(first.select(F.unix_date("day").alias("first_day")), "first_day", 50)
 
 
-def _dog_visits(t: Inputs):
-    lines = R.shorten_names(_profile(t)).where((F.col("species") == "Canine (Dog)") & (F.col("rank_") <= 5))
+def _visit_sums(t: Inputs, species: str = "Canine (Dog)", up_to: int = 5):
+    lines = R.shorten_names(_profile(t)).where((F.col("species") == species) & (F.col("rank_") <= up_to))
     return R.one_hot_sums(lines, ["animal_id", "rank_"], RAW_GROUPS)
 
 
-def _visit_profile(t: Inputs):
-    return R.mean_profile(_dog_visits(t).withColumnRenamed("rank_", "number_of_visits"), "number_of_visits", RAW_GROUPS)
+def _visit_profile(t: Inputs, *of):
+    return R.mean_profile(_visit_sums(t, *of).withColumnRenamed("rank_", "number_of_visits"), "number_of_visits", RAW_GROUPS)
 
 
 def _breed_profile(t: Inputs):
@@ -126,8 +127,11 @@ QUERIES: dict[str, Query] = {
         "product_group:s visit_1:i visit_2:i",
         "select product_group, count(*) filter (where rank_ = 1) as visit_1, count(*) filter (where rank_ = 2) as visit_2 from v_profile where visit_more_than_once = 1 and rank_ in (1, 2) group by 1",
     ),
-    "onehot_sums": Query(_dog_visits, f"animal_id:i rank_:i {_COUNT_SPEC}", _DOG_VISITS),
+    "onehot_sums": Query(_visit_sums, f"animal_id:i rank_:i {_COUNT_SPEC}", _DOG_VISITS),
     "visit_profile": Query(_visit_profile, f"number_of_visits:i n:i {_MEAN_SPEC}", _VISIT_PROFILE),
+    "visit_profile_cats": Query(
+        lambda t: _visit_profile(t, "Feline (Cat)", 2), f"number_of_visits:i n:i {_MEAN_SPEC}", f"select rank_ as number_of_visits, count(*) as n, {_AVG_SQL} from ({_CAT_VISITS}) group by 1"
+    ),
     "profile_minmax": Query(
         lambda t: R.scale_profile(_visit_profile(t), "number_of_visits", RAW_GROUPS),
         f"number_of_visits:i {_MEAN_SPEC}",

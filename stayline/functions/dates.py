@@ -16,10 +16,6 @@ def as_date(value: str | dt.date | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
-def day_of(ts: str | Column) -> Column:
-    return F.to_date(ts)
-
-
 def epoch_to_timestamp(seconds: Column) -> Column:
     """Epoch seconds as a zone-less UTC timestamp (negative seconds allowed)."""
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

@@ -16,11 +16,6 @@ def composite_key(*parts: str | Column, sep: str = "_") -> Column:
     return F.concat(*pieces)
 
 
-def surrogate_key(*parts: str) -> Column:
-    """Deterministic 64-bit row id; needs no sequence and survives a task retry."""
-    return F.xxhash64(*parts)
-
-
 def hash_bucket(key: str | Column, seed: int, buckets: int = 100) -> Column:
     """Bucket 0..buckets-1 from the first 32 bits of md5(key|seed).
 

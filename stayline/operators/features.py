@@ -149,11 +149,6 @@ def fill_weight(rows: DataFrame, averages: DataFrame, literal: bool = False) ->
     return filled.withColumn("weight", F.when(F.col("_unknown"), F.col("avg_weight")).otherwise(weight.cast("double"))).drop("_unknown", "baby", "avg_weight")
 
 
-def missing_as_sentinel(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls to the model's missing marker."""
-    return rows.fillna(float(P.MISSING_WEIGHT), subset=list(columns))
-
-
 def drop_dirty(animals: DataFrame, dirty_breed: str = P.DIRTY_BREED) -> DataFrame:
     """Drop rows bad in both weight and breed; null differs from every value here."""
     weight_ok = F.col("weight").isNull() | (F.col("weight") != 0)

@@ -25,7 +25,7 @@ from stayline.functions.numeric import as_flag
 from stayline.operators.features import MODEL_COLUMNS
 from stayline.operators.labels import LABEL
 from stayline.operators.metrics import apply_cutoff, roc_cutoff
-from stayline.session import work_path
+from stayline.session import cut_lineage, work_path
 
 
 def as_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -234,3 +234,38 @@ def at_optimal_cutoff(scored: DataFrame, label: str) -> DataFrame:
 def fit_linear(df: DataFrame, columns: Sequence[str], label: str):
     data = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip").transform(df.where(F.col(label).isNotNull()))
     return LinearRegression(labelCol=label).fit(data.select("features", label))
+
+
+@dataclass(frozen=True)
+class Within:
+    """Least squares with a level of its own for every group: one slope a column, None where it is aliased."""
+
+    slopes: dict[str, float | None]
+    levels: DataFrame
+
+
+def fit_within(df: DataFrame, columns: Sequence[str], label: str, by: str) -> Within:
+    """Linear regression of ``label`` on ``columns`` and an indicator of every value of ``by``, however many there are.
+
+    Taking out each group's means leaves the slopes as they are, so groups give their sums of centred products by one
+    aggregate, the slopes come from the total of these, and a group's level from its means. Rows with a null take no part. A
+    column that does not vary within groups, or is a combination of earlier ones there, is aliased.
+    """
+    names = [*columns, label]
+    x = {c: F.col(c).cast("double") for c in names}
+    rows = df.select(by, *[v.alias(c) for c, v in x.items()]).dropna(subset=[by, *names])
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    groups = cut_lineage(rows.groupBy(by).agg(
+        F.count("*").alias("_n"), *[F.avg(c).alias(f"_m_{c}") for c in names], *[(F.covar_pop(a, b) * F.count("*")).alias(f"_{a}|{b}") for a, b in pairs],
+    ))
+    total = groups.agg(*[F.coalesce(F.sum(F.col(f"`_{a}|{b}`")), F.lit(0.0)) for a, b in pairs]).first()
+    size = len(names)
+    products = np.zeros((size, size))
+    for (a, b), value in zip(pairs, total):
+        i, j = names.index(a), names.index(b)
+        products[i, j] = products[j, i] = value
+    kept = independent(products[:-1, :-1])
+    solved = np.linalg.solve(products[np.ix_(kept, kept)], products[kept, -1]) if kept else []
+    slopes = {c: None for c in columns} | {columns[j]: float(b) for j, b in zip(kept, solved)}
+    level = F.col(f"_m_{label}") - sum((F.col(f"_m_{c}") * b for c, b in slopes.items() if b is not None), F.lit(0.0))
+    return Within(slopes, groups.select(by, F.col("_n").alias("n"), level.alias("level")))

@@ -39,8 +39,10 @@ def promo_listing(
     known = animals.select(F.col("id").alias("animal_id"))
     joined = lines.join(sold, ["product_id", "location_id"]).join(known, "animal_id")
     plans = wellness.groupBy("uid", "day").agg(F.count("*").alias("w_rows"), F.count("wellness_plan").alias("w_plans"))
-    per_day = joined.groupBy("uid", "day", "animal_id", "location_id").agg(
-        F.count("*").alias("rows"), F.sum(as_flag(F.col("product_name").startswith(promo_prefix))).alias("promos")
+    # The lines once, equal ones as one; counts per day are sums over these.
+    lines = joined.groupBy("uid", "day", "animal_id", "location_id", "is_medical", "product_name", "revenue").agg(F.count("*").alias("lines"))
+    per_day = lines.groupBy("uid", "day", "animal_id", "location_id").agg(
+        F.sum("lines").alias("rows"), F.sum(F.col("lines") * as_flag(F.col("product_name").startswith(promo_prefix))).alias("promos")
     )
     # Only paid days count. Tested here on day rows; listing joins the counts, so it holds there too.
     per_day = per_day.join(visits.select("uid", "day"), ["uid", "day"], "left_semi")
@@ -56,7 +58,6 @@ def promo_listing(
     )
     if more_than is not None:
         counts = counts.where(F.col("free_count") > more_than)
-    lines = joined.groupBy("uid", "day", "animal_id", "location_id", "is_medical", "product_name", "revenue").agg(F.count("*").alias("lines"))
     held = wellness.groupBy("uid", "day", "wellness_plan").agg(F.count("*").alias("plans"))
     listed = lines.join(counts, ["uid", "day", "animal_id", "location_id"]).join(held, ["uid", "day"], "left")
     keys = ["is_medical", "wellness_plan", "wellness_plan_count", "product_name", "free_count", "revenue", "rank_"]

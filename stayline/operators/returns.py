@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stayline import params as P
 from stayline.functions.dates import as_date, epoch_to_timestamp, months_before, years_crossed
-from stayline.functions.numeric import as_flag, money, row_scaled
+from stayline.functions.numeric import as_flag, money, row_scaled, times
 from stayline.functions.text import first_words
 from stayline.operators.order_stats import histogram
 
@@ -21,6 +21,13 @@ def _medical(products: DataFrame, *columns: str) -> DataFrame:
     return products.where("is_medical = 1").select(F.col("ezyvet_id").alias("product_id"), "location_id", *columns)
 
 
+def line_kinds(transactions: DataFrame) -> DataFrame:
+    """Equal lines of an animal, clinic, product and day as one, with how many there are. Returners and the profile both read
+    this, so that the lines are read and shuffled once and only kinds meet products and animals."""
+    keys = ["animal_id", "location_id", "division_id", "product_id", F.to_date("datetime_date").alias("day"), "revenue"]
+    return transactions.groupBy(*keys).agg(F.count("*").alias("lines")).where("lines > 0")
+
+
 def returners(
     transactions: DataFrame, products: DataFrame, animals: DataFrame, divisions: DataFrame | None = None,
     *, match_clinic: bool = True, drop_excluded: bool = True, day_revenue: float = P.RETURN_DAY_REVENUE,
@@ -34,12 +41,12 @@ def returners(
     if drop_excluded:
         medical = medical.where(F.col("product_group") != P.EXCLUDED_GROUP)
     alive = animals.where("is_dead = 0 and active = 1").select(F.col("id").alias("animal_id"), "location_id")
-    lines = transactions.select("animal_id", "location_id", "product_id", "division_id", F.to_date("datetime_date").alias("day"), "revenue")
+    lines = line_kinds(transactions)
     if divisions is not None:
         lines = lines.join(divisions.select("division_id"), "division_id", "left")
     paid = lines.join(medical.drop("product_group"), list(PRODUCT_KEYS))
     paid = paid.join(alive, ["animal_id", "location_id"]) if match_clinic else paid.join(alive.select("animal_id"), "animal_id")
-    days = paid.groupBy("animal_id", "day").agg(F.sum("revenue").alias("r")).where(F.col("r") > day_revenue)
+    days = paid.groupBy("animal_id", "day").agg(F.sum(times(F.col("revenue"), F.col("lines"))).alias("r")).where(F.col("r") > day_revenue)
     return days.groupBy("animal_id").agg(F.count("*").alias("days")).where("days > 1").select("animal_id")
 
 
@@ -73,7 +80,7 @@ def return_profile(
     what = _medical(products, "name", "type", "tracking_level", "product_group").where(
         ~F.col("name").contains(P.EXCLUDED_NAME_PART) & (F.col("product_group") != P.EXCLUDED_GROUP)
     )
-    lines = transactions.select("animal_id", "location_id", "product_id", F.to_date("datetime_date").alias("day"), "revenue")
+    lines = line_kinds(transactions).select("animal_id", "location_id", "product_id", "day", "revenue")
     joined = lines.join(what, list(PRODUCT_KEYS)).join(who, "animal_id")
     if contacts is not None:
         stored = contacts.select(F.col("ezyvet_id").alias("contact_id"), "location_id")

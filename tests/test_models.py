@@ -62,6 +62,25 @@ def test_network_stops_and_keeps_the_best_round(rows):
     assert models.log_loss(models.predict_network(net.fitted, stop, ("dog", "a", "b")), "y") == pytest.approx(min(net.losses), abs=1e-12)
 
 
+def test_fit_within_equals_indicators(spark):
+    rng = np.random.default_rng(3)
+    n = 400
+    g = rng.integers(0, 12, n)
+    x = np.column_stack([rng.normal(1e4, 1, n), rng.normal(0, 5, n), 3.0 * g, np.zeros(n)])
+    x[:, 3] = x[:, 0] * 2 - x[:, 1]
+    y = x[:, 0] * 1.5 - 0.3 * x[:, 1] + g * 7 + rng.normal(0, 1, n)
+    rows = [(f"g{a}", *map(float, row), float(v)) for a, row, v in zip(g, x, y)] + [(None, 1.0, 1.0, 1.0, 1.0, 1.0), ("g0", None, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, d double, y double").repartition(5)
+    fitted = models.fit_within(df, ("a", "b", "c", "d"), "y", "g")
+    dummies = (g[:, None] == np.unique(g)).astype(float)
+    want = np.linalg.lstsq(np.column_stack([x[:, :2], dummies]), y, rcond=None)[0]
+    assert fitted.slopes["c"] is None and fitted.slopes["d"] is None  # one level a group; a combination
+    assert np.allclose([fitted.slopes["a"], fitted.slopes["b"]], want[:2], rtol=1e-6)
+    levels = {r.g: r.level for r in fitted.levels.collect()}
+    assert np.allclose([levels[f"g{k}"] for k in np.unique(g)], want[2:], rtol=1e-5)
+    assert models.fit_within(df.limit(0), ("a",), "y", "g").slopes == {"a": None}
+
+
 def test_log_loss_by_hand(spark):
     df = spark.createDataFrame([(1, 0.25), (0, 0.5), (1, 0.0)], "y int, score double")
     assert models.log_loss(df, "y") == pytest.approx(-(math.log(0.25) + math.log(0.5) + math.log(1e-15)) / 3)

@@ -8,7 +8,7 @@ from __spark_entry__ import entry, queries
 from stayline.contract import ALL
 
 FOLDER = "/root/testdata/sf0.001"
-LAZY = [n for n in ALL if n not in {"train_score", "train_binary", "forest_score", "importance", "split_counts", "split_checks", "score_new", "glm_fit", "glm_summary", "glm_score", "mlp_fit", "mlp_rounds", "mlp_checks", "linreg_fit"}
+LAZY = [n for n in ALL if n not in {"train_score", "train_binary", "forest_score", "importance", "split_counts", "split_checks", "train_visits", "visit_metrics", "score_visits", "score_new", "glm_fit", "glm_summary", "glm_score", "mlp_fit", "mlp_rounds", "mlp_checks", "linreg_fit", "linreg_divisions"}
         and not n.startswith(("append", "overwrite", "csv", "refresh_", "keyed_update"))]
 
 
