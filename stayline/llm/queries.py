@@ -114,6 +114,19 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: SQL that states op6: every query against every other vector.
+OP6_SQL = """
+WITH usable AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM scored QUALIFY rank <= 10
+"""
+
 #: SQL that states op11 from the texts: every order step by step, and the Shapley value as the sum of what it removes.
 OP11_SQL = r"""
 WITH words AS (
@@ -163,4 +176,4 @@ QUERIES = {f.__name__: f for f in (
     op1_langid, op2_repeats, op3_quality, op4_bpe, op5_mixing, op6_topk, op7_licences, op8_pii, op9_jaccard, op10_warc,
     op11_interactions, op12_importance, op13_fingerprints,
 )}
-ORACLES: dict[str, str] = {"op11_interactions": OP11_SQL}
+ORACLES: dict[str, str] = {"op6_topk": OP6_SQL, "op11_interactions": OP11_SQL}
