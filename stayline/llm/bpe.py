@@ -12,8 +12,13 @@ table gives an empty result. Ids outside the vocabulary are left out when decodi
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
+import threading
+import time
 from array import array
+from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
@@ -40,10 +45,11 @@ def byte_letters() -> dict[str, int]:
 class Codec:
     """A vocabulary file of the tokenizers library, ready to encode and decode."""
 
-    def __init__(self, content: str) -> None:
+    def __init__(self, content: str, remembered: int = REMEMBERED) -> None:
         import ahocorasick
         import regex
 
+        self.remembered = remembered
         spec = json.loads(content)
         letters = byte_letters()
         self.bytes_of = {i: bytes(letters[c] for c in token) for token, i in spec["model"]["vocab"].items()}
@@ -68,7 +74,8 @@ class Codec:
         self.endings.make_automaton()
         self.pieces = regex.compile(SPLIT).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.span = max(self.bytes_of, default=0) + 1
+        self.pairs: dict[int, bool] = {}  # by left * span + right
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -95,13 +102,13 @@ class Codec:
             else:
                 return True
 
-    def fits(self, pair: tuple[int, int]) -> bool:
+    def fits(self, pair: int) -> bool:
         """``side_by_side``, remembered."""
         found = self.pairs.get(pair)
         if found is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= self.remembered:
                 self.pairs.clear()
-            found = self.pairs[pair] = self.side_by_side(*pair)
+            found = self.pairs[pair] = self.side_by_side(*divmod(pair, self.span))
         return found
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -113,7 +120,7 @@ class Codec:
             endings[at + 1].append(ending)  # the longest first
         last: list[int] = [-1] * (size + 1)
         taken = [0] * (size + 1)
-        known = self.pairs.get
+        known, span = self.pairs.get, self.span
         # Prefixes are settled when first needed; ``open_ends`` holds those still waiting for a shorter one.
         open_ends, tried = [size], [0] * (size + 1)
         while open_ends:
@@ -128,7 +135,7 @@ class Codec:
                 if before < 0:
                     open_ends.append(start)
                     break
-                pair = before, token
+                pair = before * span + token
                 if known(pair) or self.fits(pair):
                     break
                 tried[end] += 1
@@ -143,19 +150,25 @@ class Codec:
         return tuple(out)
 
     def packed_piece(self, piece: str) -> bytes:
-        """The ids of a pretoken as 32-bit integers; what was used lately outlives a full memory."""
+        """The ids of a pretoken as 32-bit integers; what was used lately outlives a full memory. A pretoken that starts with a
+        space is remembered as a word, so that nothing is kept twice."""
+        if len(piece) > 1 and piece[0] == " ":
+            return self.words.get(piece[1:]) or self.packed_word(piece[1:])
         ids = self.known.get(piece) or self.older.get(piece) or array("i", self.encode_piece(piece)).tobytes()
         if len(piece) <= 64:
-            if len(self.known) >= REMEMBERED // 2:
+            if len(self.known) >= self.remembered // 2:
                 self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
     def packed_word(self, word: str) -> bytes:
         """The ids of a space and the word after it."""
-        ids = self.older_words.get(word) or b"".join(map(self.packed_piece, self.pieces(" " + word)))
+        ids = self.older_words.get(word)
+        if ids is None:
+            parts = self.pieces(" " + word)
+            ids = b"".join(map(self.packed_piece, parts)) if len(parts) > 1 else array("i", self.encode_piece(parts[0])).tobytes()
         if len(word) <= 64:
-            if len(self.words) >= REMEMBERED // 2:
+            if len(self.words) >= self.remembered // 2:
                 self.older_words, self.words = self.words, {}
             self.words[word] = ids
         return ids
@@ -193,9 +206,37 @@ class Codec:
         return self.decode_packed(np.asarray(ids, np.int64))
 
 
-@lru_cache(maxsize=2)
-def codec(content: str) -> Codec:
-    return Codec(content)
+@lru_cache(maxsize=1)
+def codec(content: str, remembered: int = REMEMBERED) -> Codec:
+    return Codec(content, remembered)
+
+
+class _Idle:
+    """Gives back what a Python worker holds for coding once it has coded nothing for a while: workers are used again for
+    other stages, which need the room."""
+
+    seconds = 6.0
+
+    def __init__(self) -> None:
+        self.last, self.watch = 0.0, None
+
+    def touch(self) -> None:
+        self.last = time.monotonic()
+        if self.watch is None or not self.watch.is_alive():
+            self.watch = threading.Thread(target=self.wait, daemon=True)
+            self.watch.start()
+
+    def wait(self) -> None:
+        while (left := self.last + self.seconds - time.monotonic()) > 0:
+            time.sleep(left)
+        codec.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # the C library's own free lists, where it is glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+_IDLE = _Idle()
 
 
 def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
@@ -222,9 +263,11 @@ def encode(text: Column, path: str) -> Column:
 
 def _encoded(own: Codec, texts: pa.Array) -> pa.ListArray:
     flat, ends = bytearray(), [0]
+    _IDLE.touch()
     for value in texts:
         flat += own.packed(value.as_py() or "")
         ends.append(len(flat) // 4)
+    _IDLE.touch()
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 
 
@@ -234,14 +277,15 @@ def _decoded(own: Codec, lists: pa.ListArray) -> pa.Array:
     return pa.array([own.decode_packed(flat[ends[i] : ends[i + 1]]) if known[i] else None for i in range(len(lists))], pa.string())
 
 
-def round_trip(text: Column, path: str) -> Column:
+def round_trip(text: Column, path: str, remembered: int = REMEMBERED) -> Column:
     """struct<ids, decoded>: the ids and the text that they decode to, by one call. ``decode(encode(text))`` beside
-    ``encode(text)`` would encode twice, as Spark puts both into one call to Python."""
+    ``encode(text)`` would encode twice, as Spark puts both into one call to Python. With less ``remembered`` a worker holds
+    less and codes more pretokens anew."""
     content = _content(path)
 
     @F.arrow_udf("ids array<int>, decoded string")
     def both(texts: pa.Array) -> pa.Array:
-        own = codec(content)
+        own = codec(content, remembered)
         ids = _encoded(own, texts)
         return pa.StructArray.from_arrays([ids, _decoded(own, ids)], names=["ids", "decoded"])
 

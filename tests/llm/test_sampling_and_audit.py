@@ -61,7 +61,7 @@ def _texts(rng, n):
 
 def test_audit_equals_every_order_step_by_step(spark):
     rng = random.Random(1)
-    texts = _texts(rng, 60)
+    texts = _texts(rng, 40)
     rows = [(rng.choice([None, *range(150)]), rng.choice(texts), rng.choice(["en", "de", "", None])) for _ in range(400)]
     rows += [(7, texts[9], "en")] * 3 + [(900 + i, "copied", "en") for i in range(150)]
     labels = [(rng.choice([None, *range(150)]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(120)]
@@ -182,7 +182,7 @@ def _documents(rng, n):
 
 def test_fingerprints_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "SAMPLES", 2)
-    texts = _documents(random.Random(6), 120) + [None, "", "same", "same", "z\n" * 500]
+    texts = _documents(random.Random(6), 80) + [None, "", "same", "same", "z\n" * 500]
     rows = [(3 * i - 50, t) for i, t in enumerate(texts)]
     random.Random(7).shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("keys", "edited", "of", "next_text", "_id", "_at")}).repartition(4)
@@ -223,15 +223,15 @@ def test_next_rows_of_repeated_null_and_no_rows(spark):
 
 
 def test_fingerprint_of_a_very_long_text(spark):
-    text = "\n".join(f"paragraph {i}" for i in range(60_000))
+    text = "\n".join(f"paragraph {i}" for i in range(20_000))
     docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
     r = {r.doc_id: r for r in fingerprints.compared(docs).collect()}
-    assert r[1].near_next == 0.0 and r[1].to_next.attempts > 8 and r[1].near_edited == pytest.approx(_alike(text, r[1].edited))
+    assert r[1].near_next == 0.0 and r[1].to_next.attempts > 6 and r[1].near_edited == pytest.approx(_alike(text, r[1].edited))
 
 
 def test_place_among_splitters(spark):
     rng = random.Random(8)
-    for n in (0, 1, 2, 3, 7, 8, 100):
+    for n in (0, 1, 3, 8, 100):
         splitters = sorted({(rng.randint(-5, 5), rng.randint(-3, 3)) for _ in range(n)})
         keys = [(a, b) for a in range(-6, 7) for b in range(-4, 5)]
         got = spark.createDataFrame(keys, "a long, b long").select("a", "b", ranges.place([F.col("a"), F.col("b")], splitters).alias("p")).collect()
