@@ -14,6 +14,11 @@ from stayline.llm.queries import table, tokenizer_path
 from stayline.session import work_path
 
 
+#: Words and pairs that a worker remembers while it codes: a fifth of what it would alone, as workers of all stages share
+#: an executor's memory. Speed and memory only.
+REMEMBERED = 60_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the base rules or the rules learned from ``labels`` reject."""
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -53,7 +58,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     files = docs.groupBy(file.alias("_file")).agg(F.count("*").alias("_rows")).select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
     docs = docs.select("doc_id", "lang", "source", "text", file.alias("_of"), row.alias("_row")).join(F.broadcast(files), F.col("_of") == F.col("_file"))
     place = F.col("_before") + F.col("_row")
-    coded = docs.select("doc_id", "lang", "source", place.alias("place"), "text", bpe.round_trip(F.col("text"), tokenizer_path()).alias("coded"))
+    coded = docs.select("doc_id", "lang", "source", place.alias("place"), "text", bpe.round_trip(F.col("text"), tokenizer_path(), REMEMBERED).alias("coded"))
     same = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "lang", "source", "place", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", same.alias("decodes"))
 
