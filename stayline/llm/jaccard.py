@@ -5,10 +5,14 @@ finds which classes are connected by links of at least the wanted similarity:
 
 * All sets order their shingles alike, rare ones first, by a sketch of fixed size that counts every shingle of the corpus.
   Two linked sets must share one of their first (1 - similarity) * size + 1 shingles, so only these prefixes are matched.
-* Similar classes are put into groups: each goes to the smallest class that it shares most prefix shingles with, by steps
-  of 5 % in size, and large groups are split. The matrix holds, for every group, the union of its members' prefix shingles and the range of sizes.
-* A class meets the groups whose union holds some of its prefix. From how many it holds, and the sizes, follows a bound on
-  the overlap with any member; only groups where it suffices are opened. There the sets themselves are compared.
+* Similar classes are put into groups: each goes to the smallest class that it shares most prefix shingles with, its
+  leader, by steps of 5 % in size, and large groups are split. The matrix holds, for every group, the union of its members'
+  *prefix* shingles (sharper than the union of all) and the range of sizes.
+* From how many shingles of a union a class holds, and the sizes, follows a bound on the overlap with any member; only
+  groups where it suffices are opened. There the sets themselves are compared.
+* Each group is opened for its own members first, the leader being a guest in every group that its family was split into.
+  What this connects is one block; then only groups of different blocks meet. So a cluster of near copies costs in
+  proportion to its rows. Two large clusters that are similar and not linked are compared group by group.
 * From an opened group come no pairs but a forest that connects what is linked; components follow by passing the smallest
   id along stars, each round a written table.
 
@@ -28,7 +32,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stayline.session import work_path
 
@@ -216,50 +219,124 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, group_rows: int = 256, group_tokens: int = 400_000) -> DataFrame:
-    """Edges (a, b) between class representatives that connect what is linked. ``classes``: rep, size, prefix."""
+def shared_shingles(classes: DataFrame) -> DataFrame:
+    """token, rep, least: the prefix shingles that several classes hold, each with the smallest of these. Counted with
+    partial sums, so that no task has to hold all holders of a common shingle."""
     rows = classes.select("rep", F.explode("prefix").alias("token"))
-    by_token = Window.partitionBy("token")
-    shared = rows.select("*", F.min("rep").over(by_token).alias("least"), F.max("rep").over(by_token).alias("most"))
-    shared = _written(shared.where("least < most").select("token", "rep", "least"), "shared")
+    held = rows.groupBy(F.col("token").alias("of")).agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
+    return rows.join(held, F.col("token") == F.col("of")).select("token", "rep", "least")
 
+
+def groups(shared: DataFrame, classes: DataFrame, group_rows: int, group_tokens: int) -> DataFrame:
+    """rep, size, leader and group. Classes with the same leader and sizes within 5 % are a family; families over
+    ``group_rows`` classes or ``group_tokens`` shingles are split into several groups."""
     nearest = shared.groupBy("rep", "least").agg(F.count("*").alias("n"))
     leaders = nearest.groupBy("rep").agg(F.max_by("least", F.struct(F.col("n"), -F.col("least"))).alias("leader"))
     sizes = classes.groupBy(F.col("rep").alias("id")).agg(F.max("size").alias("size"))
     leaders = leaders.join(sizes, F.col("rep") == F.col("id")).drop("id")
     # Members of a group differ by a few per cent in size: the narrower its range, the sharper the bound.
-    leaders = leaders.withColumn("leader", F.xxhash64("leader", F.floor(F.log("size") / math.log(1.05))))
-    parts = leaders.groupBy(F.col("leader").alias("of")).agg(F.ceil(F.greatest(F.count("*") / group_rows, F.sum("size") / group_tokens)).alias("parts"))
-    grouped = leaders.join(parts, F.col("leader") == F.col("of"))
-    grouped = _written(grouped.select("rep", "size", F.xxhash64("leader", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
-
-    told = shared.join(grouped.select(F.col("rep").alias("id"), "size", "group"), F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
-    matrix = told.groupBy("token", F.col("group").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("holders"))
-    # In a class's own group a shingle counts only if another member holds it too.
-    met = told.join(matrix, "token").where((F.col("group") != F.col("other")) | (F.col("holders") > 1))
-    met = met.groupBy("rep", "size", "group", "other").agg(F.count("*").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
+    leaders = _written(leaders.withColumn("family", F.xxhash64("leader", F.floor(F.log("size") / math.log(1.05)))), "leaders")
+    parts = leaders.groupBy(F.col("family").alias("of")).agg(F.ceil(F.greatest(F.count("*") / group_rows, F.sum("size") / group_tokens)).alias("parts"))
+    parts = _written(parts.where("parts > 1"), "parts")
+    if parts.count() <= BROADCAST_IDS:
+        parts = F.broadcast(parts)  # two numbers a family; a large family need not come together to be split
+    split = leaders.join(parts, F.col("family") == F.col("of"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return _written(split.select("rep", "size", "leader", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
+
+
+def _enough(met: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``met`` (size, hits, low, high) where a set of this size may be linked with one of size low to high."""
     fits = (100 * F.col("high") >= percent * F.col("size")) & (percent * F.col("low") <= 100 * F.col("size"))
     size = F.col("size").cast("double")
     ends = [F.greatest(F.col("low").cast("double"), size * percent / 100), F.least(F.col("high").cast("double"), size * 100 / percent)]
-    enough = _reaches(size, ends[0], F.col("hits"), percent) | _reaches(size, ends[1], F.col("hits"), percent)
-    qualified = _written(met.where(fits & enough).select("rep", "group", "other"), "qualified")
+    return met.where(fits & (_reaches(size, ends[0], F.col("hits"), percent) | _reaches(size, ends[1], F.col("hits"), percent)))
+
+
+def _bounds() -> tuple[Column, ...]:
+    return F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("holders")
+
+
+def within(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """rep, group: the classes whose own group is opened for them. The leader of a family sits in all of its groups, so
+    that groups of one large cluster are connected through it; each row meets its own group only."""
+    home = grouped.select("rep", "size", "group")
+    seats = grouped.select("group", F.col("leader").alias("of")).distinct().join(home.select("rep", "size"), F.col("rep") == F.col("of"))
+    seats = home.unionByName(seats.select("rep", "size", "group")).distinct().withColumnRenamed("rep", "id")
+    told = shared.join(seats, F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
+    matrix = told.groupBy(F.col("token").alias("of"), F.col("group").alias("other")).agg(*_bounds()).where("holders > 1")
+    met = told.join(matrix, (F.col("token") == F.col("of")) & (F.col("group") == F.col("other")))
+    met = met.groupBy("rep", "size", "group").agg(F.count("*").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return _enough(met, percent).select("rep", "group")
+
+
+def between(shared: DataFrame, grouped: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """rep, group, block, other: the classes that may be linked with a class of block ``other``. A block is a component
+    so far, as far as whole groups belong to it, or else a group. Shingles that one block alone holds fall away before
+    anything is joined, so a cluster that is one component by now costs nothing, however large."""
+    placed = grouped.select("rep", "size", "group").join(roots, F.col("rep") == F.col("id"), "left").withColumn("root", F.coalesce("root", "rep")).drop("id")
+    pure = placed.groupBy(F.col("group").alias("of")).agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    placed = placed.join(pure, F.col("group") == F.col("of"))
+    block = F.when(F.col("first") == F.col("last"), F.xxhash64("root")).otherwise(F.col("group"))
+    placed = placed.select(F.col("rep").alias("id"), "size", "group", "root", block.alias("block"))
+    told = _written(shared.join(placed, F.col("rep") == F.col("id")).select("token", "rep", "size", "group", "root", "block"), "told")
+    matrix = told.groupBy(F.col("token").alias("of"), F.col("block").alias("other")).agg(*_bounds(), F.min("root").alias("first"), F.max("root").alias("last"))
+    several = told.groupBy(F.col("token").alias("met")).agg(F.min("block").alias("one"), F.max("block").alias("two")).where("one <> two").select("met")
+    told = told.join(several, F.col("token") == F.col("met"), "left_semi")
+    apart = (F.col("block") != F.col("other")) & ((F.col("first") != F.col("root")) | (F.col("last") != F.col("root")))
+    met = told.join(matrix, (F.col("token") == F.col("of")) & apart)
+    met = met.groupBy("rep", "size", "group", "block", "other").agg(F.count("*").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return _enough(met, percent).select("rep", "group", "block", "other")
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id, tokens: the whole sets of the classes ``ids`` (rep)."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["doc_id"], "tokens": [shingle_set(t, words).tobytes() for t in batch["text"]]})
 
-    needed = _written(qualified.select(F.col("rep").alias("id")).distinct(), "needed")
+    needed = _written(ids.select(F.col("rep").alias("id")).distinct(), "needed")
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)  # else all texts would be shuffled to meet a few ids
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = _written(texts.mapInPandas(gather, "id long, tokens binary"), "sets")
+    return _written(texts.mapInPandas(gather, "id long, tokens binary"), "sets")
+
+
+def connected(docs: DataFrame, classes: DataFrame, words: int, percent: int, group_rows: int = 256, group_tokens: int = 400_000) -> DataFrame:
+    """id, root: the smallest class reachable by links, of every class with a link. ``classes``: rep, size, prefix.
+
+    Each group is opened for its own members first. What that connects is one block from then on, and only groups of
+    different blocks that may be linked are opened in pairs."""
+    shared = _written(shared_shingles(classes), "shared")
+    grouped = groups(shared, classes, group_rows, group_tokens)
+
+    own = _written(within(shared, grouped, percent), "qualified")
+    opened = own.join(sets_of(docs, own, words), F.col("rep") == F.col("id")).select("group", "rep", "tokens")
+
+    def open_one(rows: pd.DataFrame) -> pd.DataFrame:
+        return open_groups(rows, rows.rename(columns={"rep": "member_rep", "tokens": "member_tokens"}), percent)
+
+    first = components(opened.groupBy("group").applyInPandas(open_one, "a long, b long"))
+
+    # Two linked classes qualify for each other's blocks, so groups are opened in pairs with those of either side that do.
+    apart = _written(between(shared, grouped, first, percent), "qualified")
+    sides = apart.where("block < other").select("group", "block", "other").distinct()
+    facing = apart.where("block > other").select(F.col("group").alias("member_group"), F.col("other").alias("_block"), F.col("block").alias("_other")).distinct()
+    pairs = _written(sides.join(facing, (F.col("block") == F.col("_block")) & (F.col("other") == F.col("_other"))).select("group", "member_group", "block", "other"), "pairs")
+    full = apart.join(sets_of(docs, apart, words), F.col("rep") == F.col("id")).select(F.col("group").alias("of"), F.col("block").alias("own"), F.col("other").alias("met"), "rep", "tokens")
+    asked = pairs.join(full, (F.col("group") == F.col("of")) & (F.col("other") == F.col("met"))).select("group", "member_group", "rep", "tokens")
+    members = pairs.join(full, (F.col("member_group") == F.col("of")) & (F.col("block") == F.col("met")))
+    members = members.select(F.col("group").alias("g"), F.col("member_group").alias("m"), F.col("rep").alias("member_rep"), F.col("tokens").alias("member_tokens"))
+    more = asked.groupBy("group", "member_group").cogroup(members.groupBy("g", "m")).applyInPandas(lambda a, m: open_groups(a, m, percent), "a long, b long")
 
-    # Two linked classes qualify for each other's groups, so a pair of groups is opened with those of either side that do.
-    sides = qualified.join(sets, F.col("rep") == F.col("id")).select("group", "other", "rep", "tokens")
-    asked = sides.where("group <= other")
-    members = sides.where("group >= other").select(F.col("other").alias("member_group"), F.col("group").alias("member_other"), F.col("rep").alias("member_rep"), F.col("tokens").alias("member_tokens"))
-    opened = asked.groupBy("group", "other").cogroup(members.groupBy("member_group", "member_other"))
-    return opened.applyInPandas(lambda a, m: open_groups(a, m, percent), "a long, b long")
+    # Links between components, each under the name of its smallest id.
+    for side in ("a", "b"):
+        named = first.select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+        more = more.join(named, F.col(side) == F.col("_id"), "left").withColumn(side, F.coalesce("_root", side)).select("a", "b")
+    second = components(more).select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+    both = first.join(second, F.col("root") == F.col("_id"), "left").select("id", F.coalesce("_root", "root").alias("root"))
+    alone = second.join(first.select("id"), F.col("_id") == F.col("id"), "left_anti").select(F.col("_id").alias("id"), F.col("_root").alias("root"))
+    return both.unionByName(alone)
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -268,7 +345,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     solid = signed.where("size > 0 and doc_id is not null")
     classes = solid.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     classes = _written(classes, "classes")
-    roots = components(links(docs, classes.drop("one", "two"), words, percent))
+    roots = connected(docs, classes.drop("one", "two"), words, percent)
     named = classes.select(F.col("one").alias("_one"), F.col("two").alias("_two"), "rep").join(roots, F.col("rep") == F.col("id"), "left")
     named = named.select("_one", "_two", F.coalesce("root", "rep").alias("root"))
     told = signed.join(named, (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")) & (F.col("size") > 0), "left")

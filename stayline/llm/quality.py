@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.session import work_path
+
 # Fixed values of the base rules.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -192,7 +194,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, **how)
     named = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
     # Ids and labels only, sample_rows at most: 12 bytes each, so this side may be broadcast.
     chosen = F.broadcast(named.orderBy(F.xxhash64("_id"), "_id", "_quality").limit(sample_rows))
-    stats = docs.join(chosen, F.col("doc_id") == F.col("_id")).select("_id", "_quality", statistics(F.col("text")).alias("_stats"))
+    # Written first: a filter on the statistics would be pushed below the join, and all texts be counted to learn from some.
+    path = work_path(docs.sparkSession, "labelled")
+    docs.join(chosen, F.col("doc_id") == F.col("_id")).select("_id", "_quality", "text").write.parquet(path)
+    stats = docs.sparkSession.read.parquet(path).select("_id", "_quality", statistics(F.col("text")).alias("_stats"))
     at = features(F.col("_stats"))
     rows = stats.where(~base_failed(F.col("_stats"))).select("_quality", F.xxhash64("_id").alias("_order"), *[c.alias(n) for n, c in at.items()]).collect()
     rows.sort(key=lambda r: tuple(r[1:]))  # by hash of the id, so that every third row is a fair sample
