@@ -10,7 +10,7 @@ finds which classes are connected by links of at least the wanted similarity:
   *prefix* shingles (sharper than the union of all) and the range of sizes.
 * From how many shingles of a union a class holds, and the sizes, follows a bound on the overlap with any member; only
   groups where it suffices are opened. There the sets themselves are compared.
-* Each group is opened for its own members first, the leader being a guest in every group that its family was split into.
+* Each group is opened for its own members first; if a family was split, its smallest class is a guest in all its groups.
   What this connects is one block; then only groups of different blocks meet. So a cluster of near copies costs in
   proportion to its rows. Two large clusters that are similar and not linked are compared group by group.
 * From an opened group come no pairs but a forest that connects what is linked; components follow by passing the smallest
@@ -228,20 +228,21 @@ def shared_shingles(classes: DataFrame) -> DataFrame:
 
 
 def groups(shared: DataFrame, classes: DataFrame, group_rows: int, group_tokens: int) -> DataFrame:
-    """rep, size, leader and group. Classes with the same leader and sizes within 5 % are a family; families over
-    ``group_rows`` classes or ``group_tokens`` shingles are split into several groups."""
+    """rep, size, group and hub. Classes with the same leader and sizes within 5 % are a family; families over
+    ``group_rows`` classes or ``group_tokens`` shingles are split into several groups, and their smallest class is
+    the hub of each."""
     nearest = shared.groupBy("rep", "least").agg(F.count("*").alias("n"))
     leaders = nearest.groupBy("rep").agg(F.max_by("least", F.struct(F.col("n"), -F.col("least"))).alias("leader"))
     sizes = classes.groupBy(F.col("rep").alias("id")).agg(F.max("size").alias("size"))
     leaders = leaders.join(sizes, F.col("rep") == F.col("id")).drop("id")
     # Members of a group differ by a few per cent in size: the narrower its range, the sharper the bound.
     leaders = _written(leaders.withColumn("family", F.xxhash64("leader", F.floor(F.log("size") / math.log(1.05)))), "leaders")
-    parts = leaders.groupBy(F.col("family").alias("of")).agg(F.ceil(F.greatest(F.count("*") / group_rows, F.sum("size") / group_tokens)).alias("parts"))
+    parts = leaders.groupBy(F.col("family").alias("of")).agg(F.ceil(F.greatest(F.count("*") / group_rows, F.sum("size") / group_tokens)).alias("parts"), F.min("rep").alias("hub"))
     parts = _written(parts.where("parts > 1"), "parts")
     if parts.count() <= BROADCAST_IDS:
-        parts = F.broadcast(parts)  # two numbers a family; a large family need not come together to be split
+        parts = F.broadcast(parts)  # three numbers a family; a large family need not come together to be split
     split = leaders.join(parts, F.col("family") == F.col("of"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    return _written(split.select("rep", "size", "leader", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
+    return _written(split.select("rep", "size", "hub", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("group")), "groups")
 
 
 def _enough(met: DataFrame, percent: int) -> DataFrame:
@@ -257,10 +258,10 @@ def _bounds() -> tuple[Column, ...]:
 
 
 def within(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """rep, group: the classes whose own group is opened for them. The leader of a family sits in all of its groups, so
+    """rep, group: the classes whose own group is opened for them. The hub of a split family sits in all of its groups, so
     that groups of one large cluster are connected through it; each row meets its own group only."""
     home = grouped.select("rep", "size", "group")
-    seats = grouped.select("group", F.col("leader").alias("of")).distinct().join(home.select("rep", "size"), F.col("rep") == F.col("of"))
+    seats = grouped.select("group", F.col("hub").alias("of")).where("of is not null").distinct().join(home.select("rep", "size"), F.col("rep") == F.col("of"))
     seats = home.unionByName(seats.select("rep", "size", "group")).distinct().withColumnRenamed("rep", "id")
     told = shared.join(seats, F.col("rep") == F.col("id")).select("token", "rep", "size", "group")
     matrix = told.groupBy(F.col("token").alias("of"), F.col("group").alias("other")).agg(*_bounds()).where("holders > 1")
@@ -278,10 +279,10 @@ def between(shared: DataFrame, grouped: DataFrame, roots: DataFrame, percent: in
     placed = placed.join(pure, F.col("group") == F.col("of"))
     block = F.when(F.col("first") == F.col("last"), F.xxhash64("root")).otherwise(F.col("group"))
     placed = placed.select(F.col("rep").alias("id"), "size", "group", "root", block.alias("block"))
-    told = _written(shared.join(placed, F.col("rep") == F.col("id")).select("token", "rep", "size", "group", "root", "block"), "told")
-    matrix = told.groupBy(F.col("token").alias("of"), F.col("block").alias("other")).agg(*_bounds(), F.min("root").alias("first"), F.max("root").alias("last"))
+    told = shared.join(placed, F.col("rep") == F.col("id")).select("token", "rep", "size", "group", "root", "block")
     several = told.groupBy(F.col("token").alias("met")).agg(F.min("block").alias("one"), F.max("block").alias("two")).where("one <> two").select("met")
-    told = told.join(several, F.col("token") == F.col("met"), "left_semi")
+    told = _written(told.join(several, F.col("token") == F.col("met"), "left_semi"), "told")
+    matrix = told.groupBy(F.col("token").alias("of"), F.col("block").alias("other")).agg(*_bounds(), F.min("root").alias("first"), F.max("root").alias("last"))
     apart = (F.col("block") != F.col("other")) & ((F.col("first") != F.col("root")) | (F.col("last") != F.col("root")))
     met = told.join(matrix, (F.col("token") == F.col("of")) & apart)
     met = met.groupBy("rep", "size", "group", "block", "other").agg(F.count("*").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
