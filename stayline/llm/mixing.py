@@ -116,22 +116,24 @@ def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_rows: int
         turns = F.broadcast(turns)
     shape = T.StructType([docs.schema["source"], T.StructField("place", T.IntegerType())])
     places = F.broadcast(spark.createDataFrame(pa.table({"source": pa.array([r.source for r in spread], pa.string()), "place": pa.array([r.place for r in spread], pa.int32())}), shape))
+    places = places.select(F.col("source").alias("_q"), F.col("place").alias("_of"))
     bits = max(0, math.ceil(math.log2(max(1, rows / bucket_rows))))
 
     # The place of a row in its source: rows before its bucket of hashes, plus its place in the bucket. No source is sorted
-    # as a whole.
+    # as a whole. A source goes by its number, which is never null, so that rows dealt by (_of, _bucket) for their place meet
+    # the sizes of the buckets where they are: whole rows move for their place, and once more into the order of the slots.
     hashed = docs.select(F.struct("*").alias("row"), F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_hash"))
     hashed = hashed.withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - bits) if bits else F.lit(0).cast("long"))
-    sizes = hashed.groupBy("_source", "_bucket").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_hash", "_id")) - 1
-    placed = hashed.withColumn("_place", place).join(sizes, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    hashed = hashed.join(places, F.col("_source").eqNullSafe(F.col("_q"))).drop("_q")
+    sizes = hashed.groupBy("_of", "_bucket").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_of").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col("_of").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_of", "_bucket").orderBy("_hash", "_id")) - 1
+    placed = hashed.withColumn("_place", place).join(sizes, (F.col("_of") == F.col("_s")) & (F.col("_bucket") == F.col("_b")))
     at = F.col("_before") + F.col("_place")
-    placed = placed.select("row", "_source", F.expr(f"(_before + _place) div {block_rows}").alias("block"), (at % block_rows).cast("int").alias("place_in_block"))
+    placed = placed.select("row", "_source", "_of", F.expr(f"(_before + _place) div {block_rows}").alias("block"), (at % block_rows).cast("int").alias("place_in_block"))
 
-    dealt = placed.join(places.select(F.col("source").alias("_q"), F.col("place").alias("_of")), F.col("_source").eqNullSafe(F.col("_q")))
-    dealt = dealt.withColumn("_chunk", F.expr(f"block div {CHUNK}")).join(turns, (F.col("_of") == F.col("place")) & (F.col("_chunk") == F.col("chunk")))
+    dealt = placed.withColumn("_chunk", F.expr(f"block div {CHUNK}")).join(turns, (F.col("_of") == F.col("place")) & (F.col("_chunk") == F.col("chunk")))
     first = (F.col("block") % CHUNK * 3).cast("int")
     return dealt.select(
         "row", F.col("_source").alias("source"), "block", F.get("times", first).alias("release"), F.get("times", first + 1).alias("due"),

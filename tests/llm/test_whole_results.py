@@ -87,6 +87,27 @@ def test_mixture_with_odd_weights_loses_no_row(spark):
         assert sorted(r.row.doc_id for r in mixing.scheduled(docs, given, block_rows=4).collect()) == list(range(500))
 
 
+def shuffled(node):
+    """The columns of every shuffle of a plan as it is before it runs."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(node.initialPlan())
+    own = [node.output().mkString(" ")] if node.nodeName() == "Exchange" else []
+    return own + [x for i in range(node.children().size()) for x in shuffled(node.children().apply(i))]
+
+
+def test_mixture_moves_whole_rows_twice(spark, documents):
+    docs = documents([(i, f"t{i}") for i in range(900)] + [(None, "x"), (None, "y")]).drop("row")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") < 500, "big").when(F.col("doc_id") < 800, "mid"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as on a table too large for Spark to broadcast by its estimate
+    try:
+        mixed = mixing.mixed(docs, block_rows=8, bucket_rows=64)
+        assert sum("row#" in columns for columns in shuffled(mixed._jdf.queryExecution().executedPlan())) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert mixed.exceptAll(docs).count() == 0 and mixed.count() == 902
+
+
 def test_pipeline_result_carries_the_place_in_the_mixture(spark, documents, tmp_path):
     docs = documents([(i, "word " * (1 + (7 * i) % 900)) for i in range(700)])
     docs = docs.withColumn("source", F.when(F.col("doc_id") < 500, "big").otherwise("small"))
