@@ -199,8 +199,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, **how)
     docs.join(chosen, F.col("doc_id") == F.col("_id")).select("_id", "_quality", "text").write.parquet(path)
     stats = docs.sparkSession.read.parquet(path).select("_id", "_quality", statistics(F.col("text")).alias("_stats"))
     at = features(F.col("_stats"))
-    rows = stats.where(~base_failed(F.col("_stats"))).select("_quality", F.xxhash64("_id").alias("_order"), *[c.alias(n) for n, c in at.items()]).collect()
-    rows.sort(key=lambda r: tuple(r[1:]))  # by hash of the id, so that every third row is a fair sample
+    # What fails the base rules leaves here: a filter would be pushed below the counting and count every text a second time,
+    # in a second Python worker for each task, and executors keep such workers for what runs next.
+    told = stats.select("_quality", F.xxhash64("_id").alias("_order"), *[c.alias(n) for n, c in at.items()], base_failed(F.col("_stats")).alias("_failed"))
+    rows = [r[:-1] for r in told.collect() if r["_failed"] is False]
+    rows.sort(key=lambda r: r[1:])  # by hash of the id, so that every third row is a fair sample
     names = list(at)
     values = np.array([r[2:] for r in rows], float).reshape(len(rows), len(names))
     return cover(values, np.array([r[0] == 0 for r in rows], bool), names, **how)

@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayline.llm import licences, mixing, pii
+from stayline.llm import licences, mixing, pii, quality
 
 
 def test_disguises_are_found_whatever_else_the_text_holds():
@@ -108,6 +108,15 @@ def test_mixture_moves_whole_rows_twice(spark, documents):
     assert mixed.exceptAll(docs).count() == 0 and mixed.count() == 902
 
 
+def test_learning_counts_a_text_once(spark, documents, tmp_path, monkeypatch):
+    docs = documents([(i, " ".join(f"w{i * j}" for j in range(1, 70)) + " $$$" * (i % 2)) for i in range(200)] + [(300, None), (301, "short")], tmp_path)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)] + [(300, 0), (301, 0)], "doc_id long, quality int")
+    plans, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    rules = quality.learn(spark.read.parquet(f"{tmp_path}/documents.parquet"), labels)
+    assert [p.count("ArrowEvalPython") for p in plans] == [1] and len(rules) == 1
+
+
 def test_pipeline_result_carries_the_place_in_the_mixture(spark, documents, tmp_path):
     docs = documents([(i, "word " * (1 + (7 * i) % 900)) for i in range(700)])
     docs = docs.withColumn("source", F.when(F.col("doc_id") < 500, "big").otherwise("small"))
