@@ -121,7 +121,8 @@ def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_rows: int
 
     # The place of a row in its source: rows before its bucket of hashes, plus its place in the bucket. No source is sorted
     # as a whole. A source goes by its number, which is never null, so that rows dealt by (_of, _bucket) for their place meet
-    # the sizes of the buckets where they are: whole rows move for their place, and once more into the order of the slots.
+    # the sizes of the buckets where they are: whole rows move for their place, and once more into the order of the slots (and
+    # to meet the schedule, if it is too long to be broadcast).
     hashed = docs.select(F.struct("*").alias("row"), F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_hash"))
     hashed = hashed.withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - bits) if bits else F.lit(0).cast("long"))
     hashed = hashed.join(places, F.col("_source").eqNullSafe(F.col("_q"))).drop("_q")
