@@ -13,6 +13,7 @@ from stayline.functions.dates import as_date, epoch_to_timestamp, months_before,
 from stayline.functions.numeric import as_flag, money, row_scaled, times
 from stayline.functions.text import first_words
 from stayline.operators.order_stats import histogram
+from stayline.session import shuffled
 
 PRODUCT_KEYS = ("product_id", "location_id")
 
@@ -81,7 +82,8 @@ def return_profile(
         ~F.col("name").contains(P.EXCLUDED_NAME_PART) & (F.col("product_group") != P.EXCLUDED_GROUP)
     )
     lines = line_kinds(transactions).select("animal_id", "location_id", "product_id", "day", "revenue")
-    joined = lines.join(what, list(PRODUCT_KEYS)).join(who, "animal_id")
+    # Where the flag is not asked for, ``who`` is the animals alone.
+    joined = lines.join(what, list(PRODUCT_KEYS)).join(shuffled(who), "animal_id")
     if contacts is not None:
         stored = contacts.select(F.col("ezyvet_id").alias("contact_id"), "location_id")
         joined = joined.join(stored, ["contact_id", "location_id"], "left")
