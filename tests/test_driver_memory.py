@@ -6,8 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.contract import ALL
-from stayline.operators import facts
+from stayline.contract import ALL, retention
+from stayline.operators import facts, scoring
 from stayline.operators.visits import daily_lines
 from stayline.sources.inputs import AS_OF, Inputs
 
@@ -72,3 +72,26 @@ def test_line_facts_broadcast_no_table_that_grows(spark, folder):
 @pytest.mark.parametrize("name", PROFILE + SNAPSHOT)
 def test_queries_broadcast_no_table_that_grows(spark, folder, name):
     assert broadcasts(ALL[name].frame(Inputs(spark, folder))) == []
+
+
+def test_stored_scores_are_not_broadcast(spark, folder):
+    spark.range(100).select(F.col("id").cast("string").alias("uid"), F.lit(1).cast("smallint").alias("predict_for_visit_number")).write.parquet(f"{folder}/stored")
+    stored = spark.read.parquet(f"{folder}/stored")
+    rows = stored.withColumn("visit_number", F.col("predict_for_visit_number").cast("int"))
+    for any_visit in (False, True):
+        left = scoring.not_yet_scored(rows, stored.where("uid <> '7'"), any_visit)
+        assert broadcasts(left) == [] and [r.uid for r in left.collect()] == ["7"]
+
+
+def test_appended_scores_are_computed_once(spark, folder, monkeypatch):
+    """Four writers add predictions; their rows are made once, not for each of them."""
+    made, target = spark.sparkContext.accumulator(0), retention._target_rows
+
+    def seen(uid):
+        made.add(1)
+        return uid
+
+    told = F.udf(seen, "string").asNondeterministic()
+    monkeypatch.setattr(retention, "_target_rows", lambda t: target(t).withColumn("uid", told("uid")))
+    rows = ALL["append_scores"].frame(Inputs(spark, folder)).collect()
+    assert len({r.uid for r in rows}) == len(rows) == 20 and made.value == 20
